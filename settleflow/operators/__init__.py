@@ -11,9 +11,11 @@ from settleflow.operators.rows import (
     map_rows,
     merge_flows,
     register_routine,
+    reject_lines,
     rename,
     route,
     row_program,
+    split_lines,
     split_rejects,
     sql_row,
     where,
@@ -42,9 +44,11 @@ __all__ = [
     "merge_upsert",
     "net_zero",
     "register_routine",
+    "reject_lines",
     "rename",
     "route",
     "row_program",
+    "split_lines",
     "split_rejects",
     "sql_row",
     "uniq_rows",

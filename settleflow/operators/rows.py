@@ -86,6 +86,15 @@ def number_text(value: Column, thousands: str | None, decimal: str | None) -> Co
     return value
 
 
+def split_lines(df: DataFrame, col: str, sep: str) -> DataFrame:
+    """Add the fields of a delimited line as the array ``_pieces``.
+
+    They come out of a one-element explode: a filter on a field stays above it, so every line is
+    split once however many fields and rules read it.
+    """
+    return df.withColumn("_pieces", F.explode(F.array(text.split(F.col(col), sep))))
+
+
 def extract_fields(
     df: DataFrame,
     schema: T.StructType,
@@ -104,7 +113,7 @@ def extract_fields(
     """
     if on_error not in ("null", "fail"):
         raise ValueError("on_error is 'null' or 'fail'")
-    pieces = df.withColumn("_pieces", text.split(F.col(col), sep))
+    pieces = split_lines(df, col, sep)
     columns = [F.col(name) for name in keep]
     for position, field in enumerate(schema.fields, start=1):
         piece = text.element(F.col("_pieces"), position)
@@ -136,14 +145,12 @@ def split_rejects(
 
 
 def line_rules(
-    col: str,
-    sep: str,
+    pieces: Column,
     field_count: int | None = None,
     dates: Mapping[int, str] | None = None,
     trim: bool = True,
 ) -> dict[str, Column]:
-    """Rules for delimited lines: number of fields, and the 1-based fields that must be dates."""
-    pieces = text.split(F.col(col), sep)
+    """Rules for the fields of a line: how many there are, and the 1-based ones that must be dates."""
     rules = {}
     if field_count is not None:
         rules["field count"] = F.size(pieces) != field_count
@@ -154,6 +161,21 @@ def line_rules(
     return rules
 
 
+def reject_lines(
+    df: DataFrame,
+    col: str = "line",
+    sep: str = ",",
+    field_count: int | None = None,
+    dates: Mapping[int, str] | None = None,
+    trim: bool = True,
+    on_error: str = "reject",
+) -> tuple[DataFrame, DataFrame]:
+    """Separate the lines with a wrong number of fields or a bad date: ``(good, rejects)``."""
+    rules = line_rules(F.col("_pieces"), field_count, dates, trim)
+    good, rejects = split_rejects(split_lines(df, col, sep), rules, on_error)
+    return good.drop("_pieces"), rejects.drop("_pieces")
+
+
 def rename(df: DataFrame, mapping: Mapping[str, str] | None = None) -> DataFrame:
     """Pass a flow on under new column names (``old -> new``)."""
     return df.withColumnsRenamed(dict(mapping or {}))

@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from settleflow.functions import settlement
+from settleflow.functions import settlement, text
 from settleflow.operators.dedup import dup_rows, net_zero, uniq_rows
 from settleflow.operators.joins import matched, unmatched
 from settleflow.operators.merge import link_ids, merge_cases, merge_update, update_status
-from settleflow.operators.rows import Expression, extract_fields, line_rules, split_rejects, with_vars
+from settleflow.operators.rows import Expression, line_rules, split_lines, split_rejects, with_vars
 from settleflow.schema import cast_to, schema_rules
 from settleflow.sources.sinks import truncate
 
@@ -60,20 +60,16 @@ class SyncSpec:
 
 def _parsed(lines: DataFrame, spec: EntrySpec) -> tuple[DataFrame, DataFrame]:
     """Typed rows and rejected lines. A line is rejected for its field count or a value that does not fit."""
-    names = [f.name for f in spec.schema.fields]
-    raw = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    wrong_count = line_rules(spec.line, spec.sep, field_count=len(names))
-    pieces = extract_fields(
-        lines.withColumn("_bad_count", F.coalesce(*wrong_count.values())),
-        raw,
+    fields = spec.schema.fields
+    pieces = split_lines(lines, spec.line, spec.sep).select(
+        *spec.keep,
         spec.line,
-        spec.sep,
-        keep=[spec.line, "_bad_count", *spec.keep],
-    )
-    good, rejects = split_rejects(pieces, {"field count": F.col("_bad_count"), **schema_rules(spec.schema)})
-    typed = good.select(
-        *spec.keep, *[cast_to(F.col(f.name), f).alias(f.name) for f in spec.schema.fields]
+        "_pieces",
+        *[F.trim(text.element(F.col("_pieces"), i)).alias(f.name) for i, f in enumerate(fields, start=1)],
     )
+    rules = {**line_rules(F.col("_pieces"), field_count=len(fields)), **schema_rules(spec.schema)}
+    good, rejects = split_rejects(pieces, rules)
+    typed = good.select(*spec.keep, *[cast_to(F.col(f.name), f).alias(f.name) for f in fields])
     return typed, rejects.select(*spec.keep, spec.line, "reject_reason")
 
 

@@ -14,7 +14,6 @@ from settleflow.operators import (
     context_row,
     dup_rows,
     extract_fields,
-    line_rules,
     link_ids,
     lookup_join,
     lookup_rejects,
@@ -26,6 +25,7 @@ from settleflow.operators import (
     merge_upsert,
     net_zero,
     register_routine,
+    reject_lines,
     rename,
     route,
     row_program,
@@ -386,7 +386,7 @@ def _(t: Tables):
 
 
 def _checked(t: Tables):
-    return split_rejects(lines(t), line_rules("line", "|", field_count=6, dates={5: "yyyy-MM-dd"}))
+    return reject_lines(lines(t), "line", "|", field_count=6, dates={5: "yyyy-MM-dd"})
 
 
 @query(
