@@ -1,7 +1,8 @@
 """Operators over flows (DataFrames)."""
 
 from settleflow.operators.dedup import cap_per_group, dup_rows, net_zero, uniq_rows
-from settleflow.operators.joins import hot_keys, lookup_join, lookup_rejects, matched, unmatched
+from settleflow.operators.joins import lookup_join, lookup_rejects, matched, unmatched
+from settleflow.operators.keyjoin import hot_keys, key_join, salted_join
 from settleflow.operators.merge import link_ids, merge_cases, merge_update, merge_upsert, update_status
 from settleflow.operators.rows import (
     buffer,
@@ -32,6 +33,7 @@ __all__ = [
     "extract_fields",
     "generate_id",
     "hot_keys",
+    "key_join",
     "line_rules",
     "link_ids",
     "lookup_join",
@@ -48,6 +50,7 @@ __all__ = [
     "rename",
     "route",
     "row_program",
+    "salted_join",
     "split_lines",
     "split_rejects",
     "sql_row",

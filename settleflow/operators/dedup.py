@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from settleflow.operators.keyjoin import key_join
+
 # Copies of one row that one task writes out.
 COPIES_PER_TASK = 100_000
 
@@ -123,7 +125,7 @@ def net_zero(
         .filter((F.col("_n") > 1) & (F.abs("_sum") <= F.lit(str(tol)).cast("decimal(28,4)")))
         .select(*names)
     )
-    on = F.lit(True)
-    for key, name in zip(keys, names):
-        on = on & F.col(key).eqNullSafe(F.col(name))
-    return df.join(sums, on, "left_anti"), df.join(sums, on, "left_semi")
+    return (
+        key_join(df, sums, keys, names, "left_anti", null_safe=True),
+        key_join(df, sums, keys, names, "left_semi", null_safe=True),
+    )

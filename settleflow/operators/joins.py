@@ -1,61 +1,21 @@
 """Lookup joins, and the joins that tell matched from unmatched rows.
 
-No join here forces a broadcast: Spark broadcasts a lookup when its size, from file statistics or
-measured at run time, is below the session's threshold, and otherwise hash-partitions both sides,
-where adaptive execution splits a partition that one key has made too big. ``salts`` spreads hot
-keys ahead of the shuffle instead.
+No join here forces a broadcast of data: Spark broadcasts a lookup when its size, from file
+statistics or measured at run time, is below the session's threshold, and otherwise partitions both
+sides by key, where adaptive execution splits what one key has made too big.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from settleflow.operators.dedup import uniq_rows
+from settleflow.operators.keyjoin import key_join, salted_join, same_keys
 from settleflow.operators.rows import Expression, column_of
 
-# A key is hot when it has more than this share of the rows, so at most 1,000 keys are hot.
-HOT_SHARE = 0.001
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """The keys with more than ``share`` of all rows: never more than ``1 / share`` of them."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > share * df.count()).select(*keys)
-
-
-def _same(left: Sequence[str], right: Sequence[str], null_safe: bool = False) -> Column:
-    on = F.lit(True)
-    for a, b in zip(left, right):
-        on = on & (F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b))
-    return on
-
-
-def _salted(main: DataFrame, lookup: DataFrame, left: list[str], right: list[str], salts: int):
-    """Add a salt to both sides: hot keys of ``main`` get many, every other key gets 0.
-
-    The salt comes from the number of the task, so a repeated task gives each row the same salt.
-    The rows of a hot key in the lookup are copied once per salt.
-    """
-    # Bounded by 1 / HOT_SHARE rows, so the broadcast size does not grow with the data.
-    hot = F.broadcast(hot_keys(main, left).toDF(*[f"_h{i}" for i in range(len(left))]).withColumn("_hot", F.lit(True)))
-    names = [c for c in hot.columns if c != "_hot"]
-    task = F.pmod(F.hash(F.spark_partition_id()), F.lit(salts))
-    main = (
-        main.join(hot, _same(left, names, null_safe=True), "left")
-        .withColumn("_salt", F.when(F.col("_hot"), task).otherwise(0))
-        .drop("_hot", *names)
-    )
-    lookup = (
-        lookup.join(hot, _same(right, names), "left")
-        .withColumn("_slots", F.when(F.col("_hot"), F.lit(salts)).otherwise(1))
-        .withColumn("_slot", F.explode(F.sequence(F.lit(0), F.col("_slots") - 1)))
-        .drop("_hot", "_slots", *names)
-    )
-    return main, lookup, left + ["_salt"], right + ["_slot"]
-
 
 def lookup_join(
     main: DataFrame,
@@ -71,7 +31,8 @@ def lookup_join(
 
     ``on`` pairs an expression over the main flow with a lookup column. ``how`` is ``"left"`` or
     ``"inner"``. With ``name`` every lookup column is called ``name_column`` in the result.
-    ``match="first"`` keeps one lookup row per key, the first by ``order_by``.
+    ``match="first"`` keeps one lookup row per key, the first by ``order_by``. ``salts`` above 1
+    spreads hot keys of either side ahead of the shuffle, see :func:`salted_join`.
     """
     if how not in ("left", "inner"):
         raise ValueError("how is 'left' or 'inner'")
@@ -89,8 +50,12 @@ def lookup_join(
     keyed = main.withColumns({k: column_of(e) for k, (e, _) in zip(left, on)})
     columns = [*main.columns, *lookup.columns]
     if salts > 1:
-        keyed, lookup, left, right = _salted(keyed, lookup, left, right, salts)
-    return keyed.join(lookup, _same(left, right), how).select(*columns)
+        joined = salted_join(keyed, lookup, left, right, how, salts)
+    elif match == "first":
+        joined = key_join(keyed, lookup, left, right, how)
+    else:
+        joined = keyed.join(lookup, same_keys(left, right), how)
+    return joined.select(*columns)
 
 
 def _key_side(lookup: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -102,13 +67,13 @@ def _key_side(lookup: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[s
 def matched(source: DataFrame, target: DataFrame, keys: Sequence[str], target_keys: Sequence[str] | None = None):
     """Source rows whose keys the target has."""
     side, names = _key_side(target, target_keys or keys)
-    return source.join(side, _same(keys, names), "left_semi")
+    return key_join(source, side, keys, names, "left_semi")
 
 
 def unmatched(source: DataFrame, target: DataFrame, keys: Sequence[str], target_keys: Sequence[str] | None = None):
     """Source rows whose keys the target lacks; a NULL key never matches."""
     side, names = _key_side(target, target_keys or keys)
-    return source.join(side, _same(keys, names), "left_anti")
+    return key_join(source, side, keys, names, "left_anti")
 
 
 def lookup_rejects(main: DataFrame, lookup: DataFrame, on: Sequence[tuple[Expression, str]]) -> DataFrame:
@@ -116,4 +81,4 @@ def lookup_rejects(main: DataFrame, lookup: DataFrame, on: Sequence[tuple[Expres
     left = [f"_key{i}" for i in range(len(on))]
     keyed = main.withColumns({k: column_of(e) for k, (e, _) in zip(left, on)})
     side, names = _key_side(lookup, [key for _, key in on])
-    return keyed.join(side, _same(left, names), "left_anti").select(*main.columns)
+    return key_join(keyed, side, left, names, "left_anti").select(*main.columns)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from settleflow.operators.dedup import uniq_rows
 from settleflow.operators.joins import unmatched
+from settleflow.operators.keyjoin import LEFT_SLOT, RIGHT_SLOT, same_keys, with_slots
 from settleflow.operators.rows import Expression, column_of
 
 
@@ -54,10 +55,9 @@ def merge_cases(
     """
     _need_keys(keys)
     clean = unique_source(source.filter(_has_keys(keys)), keys, order_by)
-    left, right = target.alias("t"), clean.alias("s")
-    on = F.lit(True)
-    for key in keys:
-        on = on & (F.col(f"t.{key}") == F.col(f"s.{key}"))
+    left, right = with_slots(target, clean, keys, keys)
+    left, right = left.alias("t"), right.alias("s")
+    on = same_keys([*[f"t.{k}" for k in keys], LEFT_SLOT], [*[f"s.{k}" for k in keys], RIGHT_SLOT])
     hit = F.col(f"s.{keys[0]}").isNotNull()
     columns = []
     for name in target.columns:

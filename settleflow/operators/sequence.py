@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from settleflow.functions import dates, settlement
+from settleflow.operators.keyjoin import key_join
 from settleflow.session import checkpoint_dir
 
 # Groups whose start is sent to every task; more groups than this are joined by shuffle.
@@ -67,10 +68,7 @@ def with_sequence(
         first = rows.groupBy(*[F.col(g).alias(n) for g, n in zip(groups, names)]).agg(F.min("_at").alias("_first"))
         if first.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS:
             first = F.broadcast(first)
-        on = F.lit(True)
-        for group, name in zip(groups, names):
-            on = on & F.col(group).eqNullSafe(F.col(name))
-        rows = rows.join(first, on)
+        rows = key_join(rows, first, groups, names, "inner", null_safe=True)
         at = at - F.col("_first")
     return rows.withColumn(col, F.lit(start).cast("bigint") + at * step).select(*df.columns, col)
 
