@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from pyspark.sql import types as T
 
 from settleflow.sources.tables import GROUP
 
+# What a failed job raises: a Spark error, or the Java error it was not turned into one from.
+FAILURES = (PySparkException, Py4JJavaError)
+
 EXPORT_SCHEMA = T.StructType(
     [
         T.StructField("table", T.StringType()),
@@ -21,6 +25,11 @@ EXPORT_SCHEMA = T.StructType(
 )
 
 
+def _reason(error: Exception) -> str:
+    text = error.java_exception.toString() if isinstance(error, Py4JJavaError) else str(error)
+    return text.split("\n", 1)[0]
+
+
 def write_insert(df: DataFrame, target: str, cols: Sequence[str] | None = None, mode: str = "append") -> None:
     """Write the declared columns to a table or a parquet path; ``mode="overwrite"`` rebuilds it."""
     out = (df.select(*cols) if cols else df).write.mode(mode)
@@ -67,8 +76,8 @@ def export_parquet(spark: SparkSession, tables: Mapping[str, DataFrame], folder:
         try:
             df.write.mode("overwrite").parquet(path)
             done.append((name, path, "ok", None))
-        except PySparkException as error:
-            done.append((name, path, "error", str(error).split("\n", 1)[0]))
+        except FAILURES as error:
+            done.append((name, path, "error", _reason(error)))
     listed = spark.createDataFrame(done, EXPORT_SCHEMA)
     written = [path for _, path, status, _ in done if status == "ok"]
     if not written:
@@ -111,8 +120,8 @@ def load_by_name(spark: SparkSession, exported: Mapping[str, str], targets: Mapp
             seen = Observation(f"load_{name}")
             counted.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(targets[name])
             out.append((name, "ok", int(seen.get["rows"]), None))
-        except (PySparkException, KeyError, ValueError) as error:
-            out.append((name, "error", None, str(error).split("\n", 1)[0]))
+        except (*FAILURES, KeyError, ValueError) as error:
+            out.append((name, "error", None, _reason(error)))
     return spark.createDataFrame(out, "table string, status string, rows bigint, error string")
 
 
