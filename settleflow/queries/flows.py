@@ -62,8 +62,8 @@ C = F.col
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = ["l_partkey", "l_suppkey"]
 LINE_COLS = [*LINE_KEYS, *LINE_ORDER, "l_extendedprice"]
-_RANKED = """(SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS rn
-              FROM lineitem)"""
+_RANKED = """(SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                          ORDER BY l_partkey, l_suppkey, l_extendedprice) AS rn FROM lineitem)"""
 _LINE_SQL = f"SELECT {', '.join(LINE_COLS)} FROM {_RANKED}"
 
 
@@ -510,7 +510,7 @@ def _returns(t: Tables):
 
 
 _FIRST_RETURN = """(SELECT l_orderkey AS k, l_extendedprice AS p, row_number() OVER
-    (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem WHERE l_returnflag = 'R')"""
+    (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS rn FROM lineitem WHERE l_returnflag = 'R')"""
 
 
 @query(

@@ -46,7 +46,8 @@ C = F.col
 
 # --- flagship --------------------------------------------------------------------------------
 
-_FIRST_ENTRY = f"""(SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS rn
+_FIRST_ENTRY = f"""(SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey,
+                      rt, dir, sendpay, setdate, rec_prin, pay_prin, clear_fx, rec_charges, clear_charges, basic) AS rn
                     FROM {ENTRIES_SQL})"""
 
 
@@ -240,7 +241,8 @@ def _type4(t: Tables):
 
 _ORDERED_PARTS = ["l_partkey", "l_suppkey"]
 _TYPE4_SQL = """(SELECT l_orderkey AS lk, l_returnflag, strftime(l_shipdate, '%Y-%m-%d') AS ship,
-    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey) AS rn FROM lineitem WHERE l_linenumber = 4)"""
+    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_returnflag, l_shipdate) AS rn
+    FROM lineitem WHERE l_linenumber = 4)"""
 _JOINED_SQL = f"orders LEFT JOIN (SELECT * FROM {_TYPE4_SQL} WHERE rn = 1) ON o_orderkey = lk"
 
 
@@ -332,7 +334,8 @@ def _synced(t: Tables, staged: bool = True):
 
 
 _FIRST_STAGED = """(SELECT *, l_orderkey || '-' || l_linenumber AS eid FROM
-    (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem)
+    (SELECT *, row_number() OVER (PARTITION BY l_orderkey
+       ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag, l_extendedprice) AS rn FROM lineitem)
     WHERE rn = 1)"""
 
 
