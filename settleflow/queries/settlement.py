@@ -47,7 +47,7 @@ C = F.col
 # --- flagship --------------------------------------------------------------------------------
 
 _FIRST_ENTRY = f"""(SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey,
-                      rt, dir, sendpay, setdate, rec_prin, pay_prin, clear_fx, rec_charges, clear_charges, basic) AS rn
+                      rt, dir, rec_prin, pay_prin, clear_fx, basic) AS rn
                     FROM {ENTRIES_SQL})"""
 
 
@@ -61,7 +61,8 @@ _FIRST_ENTRY = f"""(SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_line
         FROM {_FIRST_ENTRY} LEFT JOIN orders ON l_orderkey = o_orderkey WHERE rn = 1""",
 )
 def _(t: Tables):
-    first = uniq_rows(entries(t), ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
+    read = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "rt", "dir", "rec_prin", "pay_prin", "clear_fx", "basic"]
+    first = uniq_rows(entries(t), ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"], read)
     orders = t.orders.select(C("o_orderkey"), C("o_orderstatus").alias("status"))
     flow = lookup_join(first, orders, [("l_orderkey", "o_orderkey")])
     flow = with_vars(

@@ -12,28 +12,36 @@ from pyspark.sql import types as T
 from settleflow.operators.rows import number_text
 from settleflow.schema import cast_to
 
-_PLACE = ["_file", "_block", "_line"]
+def _edge_marker(header: int, footer: int):
+    """Marks the lines that can be edge lines of a file: the first and last few of a file split.
 
-
-def _line_counter():
-    """Numbers the lines of each file split; a split's lines arrive together and in file order.
-
-    Made inside a function, so that it travels to the executors by value.
+    A split's lines arrive together and in file order. Only ``footer`` lines are held back at a
+    time. Made inside a function, so that it travels to the executors by value.
     """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        split, seen = None, 0
+    place = ["_file", "_block"]
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        split, seen, held = None, 0, None
         for batch in batches:
             if batch.empty:
                 continue
-            place = batch.groupby(["_file", "_block"], sort=False).cumcount()
-            carried = (batch["_file"] == split[0]) & (batch["_block"] == split[1]) if split else False
-            number = place + carried * seen
-            yield batch.assign(_line=number.astype("int64"))
-            last = batch.iloc[-1]
-            split, seen = (last["_file"], last["_block"]), int(number.iloc[-1]) + 1
-
-    return count
+            line = batch.groupby(place, sort=False).cumcount()
+            if split:
+                line = line + ((batch["_file"] == split[0]) & (batch["_block"] == split[1])) * seen
+            split, seen = (batch["_file"].iloc[-1], batch["_block"].iloc[-1]), int(line.iloc[-1]) + 1
+            frame = batch.assign(_line=line.astype("int64"))
+            if held is not None:
+                frame = pd.concat([held, frame], ignore_index=True)
+            near_end = frame.groupby(place, sort=False).cumcount(ascending=False) < footer
+            running = (frame["_file"] == split[0]) & (frame["_block"] == split[1])
+            frame = frame.assign(_edge=(frame["_line"] < header) | near_end)
+            yield frame[~(near_end & running)]
+            held = frame[near_end & running].drop(columns="_edge")
+        if held is not None and not held.empty:
+            yield held.assign(_edge=True)
+
+    return mark
 
 
 def read_lines(
@@ -47,8 +55,9 @@ def read_lines(
 ) -> DataFrame:
     """One text column per line, without the first ``header`` and last ``footer`` lines of each file.
 
-    The edge lines are the first or last few by (file, split, line in split), cut down to that few
-    per task before any shuffle, and removed by an anti-join on that unique place.
+    The first lines of a file are among the first few of its splits, the last ones among the last
+    few. Only those few per split are ranked within their file; all other lines are passed on
+    where they were read.
     """
     reader = spark.read
     if line_sep:
@@ -58,19 +67,16 @@ def read_lines(
     lines = reader.text(path)
     if header == 0 and footer == 0:
         return lines.select(F.col("value").alias(col))
-    placed = lines.select(
+    marked = lines.select(
         "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")
-    ).mapInPandas(_line_counter(), "value string, _file string, _block bigint, _line bigint")
-    edges = []
-    for count, order in (
-        (header, [F.asc("_block"), F.asc("_line")]),
-        (footer, [F.desc("_block"), F.desc("_line")]),
-    ):
-        if count:
-            rank = F.row_number().over(Window.partitionBy("_file").orderBy(*order))
-            edges.append(placed.withColumn("_rank", rank).filter(F.col("_rank") <= count).select(*_PLACE))
-    dropped = edges[0] if len(edges) == 1 else edges[0].union(edges[1])
-    return placed.join(dropped, _PLACE, "left_anti").select(F.col("value").alias(col))
+    ).mapInPandas(_edge_marker(header, footer), "value string, _file string, _block bigint, _line bigint, _edge boolean")
+    inner = marked.filter(~F.col("_edge")).select("value")
+    by_file = Window.partitionBy("_file")
+    from_start = F.row_number().over(by_file.orderBy("_block", "_line"))
+    from_end = F.row_number().over(by_file.orderBy(F.desc("_block"), F.desc("_line")))
+    edges = marked.filter("_edge").withColumns({"_up": from_start, "_down": from_end})
+    kept = edges.filter((F.col("_up") > header) & (F.col("_down") > footer)).select("value")
+    return inner.union(kept).select(F.col("value").alias(col))
 
 
 def read_delimited(
