@@ -11,9 +11,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from settleflow.operators.keyjoin import key_join
 
+# Types Spark cannot sort by.
+UNORDERED = (T.MapType, T.VariantType)
 # Copies of one row that one task writes out.
 COPIES_PER_TASK = 100_000
 
@@ -23,9 +26,8 @@ def ordering(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str
     if not order_by:
         raise ValueError("order_by is required: without an order the first row is arbitrary")
     named = {c for c in order_by if isinstance(c, str)} | set(keys)
-    return [F.col(c) if isinstance(c, str) else c for c in order_by] + [
-        F.col(c) for c in df.columns if c not in named
-    ]
+    rest = [f.name for f in df.schema.fields if f.name not in named and not isinstance(f.dataType, UNORDERED)]
+    return [F.col(c) if isinstance(c, str) else c for c in order_by] + [F.col(c) for c in rest]
 
 
 def _needed(df: DataFrame, keys: Sequence[str], order_by, cols: Sequence[str]) -> DataFrame:

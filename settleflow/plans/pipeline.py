@@ -113,14 +113,21 @@ def final_load(
     within ``net_keys`` are taken away. 3. What is left is inserted. 4. The amount of adjustments
     of record type 2 changes its sign. 5. The merge table is emptied.
     """
-    updated = merge_update(prod, matched(merge, prod, keys), keys, order_by=order_by)
-    kept, netted = net_zero(unmatched(merge, prod, keys), net_keys or keys, amount)
-    flipped = adj.withColumn(amount, settlement.rt2_negate(F.col(rt), F.col(amount)))
+    # With an order one row per key is taken; without, only rows that do update must be unique.
+    updates = merge if order_by else matched(merge, prod, keys)
+    updated = merge_update(prod, updates, keys, order_by=order_by)
+    return _inserted(unmatched(merge, prod, keys), updated, adj, net_keys or keys, amount, rt) | {"merge": truncate(merge)}
+
+
+def _inserted(
+    new: DataFrame, prod: DataFrame, adj: DataFrame, net_keys: Sequence[str], amount: str, rt: str
+) -> dict[str, DataFrame]:
+    """Steps 2 to 4: net the new rows, insert the rest, turn the sign of adjustments."""
+    kept, netted = net_zero(new, net_keys, amount)
     return {
-        "prod": updated.unionByName(kept.select(*prod.columns)),
+        "prod": prod.unionByName(kept.select(*prod.columns)),
         "netted": netted,
-        "adj": flipped,
-        "merge": truncate(merge),
+        "adj": adj.withColumn(amount, settlement.rt2_negate(F.col(rt), F.col(amount))),
     }
 
 
@@ -134,7 +141,8 @@ def post_sync(
 ) -> dict[str, DataFrame]:
     """Everything between staging and the final load, and the final load itself.
 
-    Nothing staged leaves every table as it is. Otherwise: duplicate activity rows are set aside,
+    Staging is read by several outputs: buffer it when it is costly to compute. Nothing staged
+    leaves every table as it is. Otherwise: duplicate activity rows are set aside,
     waiting rows become settled, staging updates production by the first case that holds, templates
     get the ids of their entries, staging rows production lacks go to the merge table, and that
     table is loaded.
@@ -154,12 +162,14 @@ def post_sync(
     settled = update_status(staging, "W", "S", spec.status_condition, spec.status)
     updated = merge_cases(prod, settled, keys, spec.cases, spec.order_by)
     linked = link_ids(templates, settled, list(spec.template_keys), spec.id_col, spec.order_by)
+    # The merge table holds the rows production lacks, so its load has nothing left to update.
     third = unmatched(settled, prod, keys)
-    loaded = final_load(third, updated, adj, keys, spec.amount, spec.rt, spec.net_keys or keys)
+    loaded = _inserted(third, updated, adj, spec.net_keys or keys, spec.amount, spec.rt)
     return {
         "duplicates": duplicates,
         "staging": settled,
         "templates": linked,
+        "merge": truncate(third),
         **loaded,
     }
 
