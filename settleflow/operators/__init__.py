@@ -11,6 +11,7 @@ from settleflow.operators.rows import (
     line_rules,
     map_rows,
     merge_flows,
+    observe_rows,
     register_routine,
     reject_lines,
     rename,
@@ -45,6 +46,7 @@ __all__ = [
     "merge_update",
     "merge_upsert",
     "net_zero",
+    "observe_rows",
     "register_routine",
     "reject_lines",
     "rename",

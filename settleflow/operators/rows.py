@@ -7,7 +7,7 @@ from functools import reduce
 
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -186,6 +186,12 @@ def buffer(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) ->
     return df.persist(level)
 
 
+def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """The flow, and what holds its row count in ``get["rows"]`` once a job has read it."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def merge_flows(*flows: DataFrame) -> DataFrame:
     """All rows of all flows, columns matched by name."""
     return reduce(lambda a, b: a.unionByName(b), flows)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from settleflow.functions import dates, settlement
 from settleflow.operators.keyjoin import key_join
-from settleflow.session import checkpoint_dir
+from settleflow.session import new_folder
 
 # Groups whose start is sent to every task; more groups than this are joined by shuffle.
 BROADCAST_GROUPS = 100_000
@@ -20,21 +20,23 @@ POSITION_BITS = 33
 def _numbered(df: DataFrame, order_by: Sequence[Column | str]) -> DataFrame:
     """Add ``_at``, the 0-based position of the row in the order.
 
-    Range partitions sorted inside are written to the checkpoint folder, so that partition numbers
-    and positions stay fixed for every later read; a position plus the sizes of the partitions
-    before is the number. The task number splits rows the order leaves tied.
+    Range partitions sorted inside are written to the shared folder together with the partition and
+    position of every row, so that later reads and repeated tasks all see the same ones; a position
+    plus the sizes of the partitions before is the number. Sizes need one column of the table. The
+    task number splits rows the order leaves tied.
     """
-    checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    folder = new_folder(spark, "sequence")
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    placed = (
+    (
         df.withColumn("_task", F.spark_partition_id())
         .repartitionByRange(*order, F.col("_task"))
         .sortWithinPartitions(*order, F.col("_task"))
         .drop("_task")
-        .checkpoint()
         .withColumn("_id", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_id", POSITION_BITS))
+        .write.parquet(folder)
     )
+    placed = spark.read.parquet(folder).withColumn("_part", F.shiftright("_id", POSITION_BITS))
     # One row per partition: the running sum is over as many rows as there are partitions.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
@@ -57,7 +59,11 @@ def with_sequence(
     step: int = 1,
     partition_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Number the rows ``start, start + step, ...`` in order, over all rows or per group."""
+    """Number the rows ``start, start + step, ...`` in order, over all rows or per group.
+
+    The ordered rows are written below ``spark.checkpoint.dir`` at once; remove that table when the
+    result is no longer read.
+    """
     if not order_by:
         raise ValueError("order_by is required: a sequence follows an order")
     groups = list(partition_by or [])

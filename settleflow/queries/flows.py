@@ -364,11 +364,12 @@ def _(t: Tables):
 
 @query(
     "prj_08_context_row",
-    "SELECT r_name, 'RUN' AS ctx_mode, 14 AS ctx_loops FROM region",
+    "SELECT c_custkey, 'RUN' AS ctx_mode, 14 AS ctx_loops FROM customer",
 )
 def _(t: Tables):
     row = context_row(t.spark, {"mode": "'RUN'", "loops": "15 - 1"})
-    return t.region.select("r_name").join(row)
+    values = [row.select(c).scalar().alias(c) for c in row.columns]
+    return t.customer.select("c_custkey", *values)
 
 
 _PIECES = """(SELECT k, list_transform(string_split(line, '|'), lambda x: trim(x)) AS p FROM """ + LINES_SQL + ")"

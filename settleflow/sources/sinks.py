@@ -6,10 +6,11 @@ from collections.abc import Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from settleflow.operators.rows import observe_rows
 from settleflow.sources.tables import GROUP
 
 # What a failed job raises: a Spark error, or the Java error it was not turned into one from.
@@ -116,9 +117,8 @@ def load_by_name(spark: SparkSession, exported: Mapping[str, str], targets: Mapp
         try:
             target = spark.read.parquet(targets[name]).schema
             rows = spark.read.parquet(path)
-            counted = match_columns(rows, target)
-            seen = Observation(f"load_{name}")
-            counted.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(targets[name])
+            counted, seen = observe_rows(match_columns(rows, target), f"load_{name}")
+            counted.write.mode("append").parquet(targets[name])
             out.append((name, "ok", int(seen.get["rows"]), None))
         except (*FAILURES, KeyError, ValueError) as error:
             out.append((name, "error", None, _reason(error)))

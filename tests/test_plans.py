@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from settleflow.operators import dup_rows, lookup_join, merge_update, unmatched, uniq_rows, with_sequence
+from settleflow.operators import dup_rows, lookup_join, merge_update, observe_rows, unmatched, uniq_rows, with_sequence
 from settleflow.plans import group_status, post_sync, route_files, run_groups
 from settleflow.queries.registry import Tables
 from settleflow.queries.settlement import SYNC, _staged
@@ -117,6 +117,12 @@ def test_nothing_staged_changes_nothing(spark):
     assert out["merge"].count() == 0 and out["duplicates"].count() == 0
 
 
+def test_rows_are_counted_on_the_way(spark):
+    flow, seen = observe_rows(spark.range(7), "seven")
+    flow.write.format("noop").mode("overwrite").save()
+    assert seen.get["rows"] == 7
+
+
 def test_status_board_has_every_group(spark):
     runs = spark.createDataFrame(
         [(2, "RUNNING", "s", 1, 1, 10, "2024-01-01 00:00:00", 1.5), (2, "FAILED", "t", 2, 2, 20, "2024-01-02 00:00:00", 2.5)],

@@ -55,3 +55,13 @@ def test_dedup_across_batches_equals_batch(spark, tmp_path):
     writer.start(str(tmp_path / "out")).awaitTermination()
     batch = spark.read.schema(ROW).csv(str(tmp_path / "in"))
     assert bag(spark.read.parquet(str(tmp_path / "out")).select("k")) == bag(uniq_rows(batch, ["k"], ["at"]).select("k"))
+
+
+def test_finished_files_are_archived(spark, tmp_path):
+    _files(tmp_path / "in", [[f"{n},2024-01-01 00:00:00,x"] for n in range(4)])
+    archive = tmp_path / "archive"
+    stream = stream_files(spark, str(tmp_path / "in"), ROW, max_files=1, archive_dir=str(archive))
+    stream_load(stream, str(tmp_path / "out"), str(tmp_path / "cp"), interval=None).awaitTermination()
+    moved, left = list(archive.rglob("*.csv")), list((tmp_path / "in").glob("*.csv"))
+    assert moved and len(moved) + len(left) == 4
+    assert spark.read.parquet(str(tmp_path / "out/good")).count() == 4
