@@ -69,7 +69,7 @@ def key_join(
     """Join on keys of different names, each right row standing for its key alone."""
     columns = left.columns if how in ("left_semi", "left_anti") else [*left.columns, *right.columns]
     left, right = with_slots(left, right, left_keys, right_keys)
-    on = same_keys([*left_keys, LEFT_SLOT], [*right_keys, RIGHT_SLOT], null_safe)
+    on = same_keys(left_keys, right_keys, null_safe) & (F.col(LEFT_SLOT) == F.col(RIGHT_SLOT))
     return left.join(right, on, how).select(*columns)
 
 
