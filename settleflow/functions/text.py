@@ -90,7 +90,12 @@ def lpad(c: Column, size: int, pad: str) -> Column:
 
 
 def quoted(separator: str) -> str:
-    """A separator as a regular expression that matches it literally."""
+    """A separator as a regular expression that matches it literally.
+
+    One character, escaped at most, is split without compiling a pattern for every row.
+    """
+    if len(separator) == 1:
+        return "\\" + separator if separator in ".$|()[{^?*+\\" else separator
     return "\\Q" + separator.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 
