@@ -61,16 +61,18 @@ class SyncSpec:
 def _parsed(lines: DataFrame, spec: EntrySpec) -> tuple[DataFrame, DataFrame]:
     """Typed rows and rejected lines. A line is rejected for its field count or a value that does not fit."""
     fields = spec.schema.fields
-    pieces = split_lines(lines, spec.line, spec.sep).select(
-        *spec.keep,
-        spec.line,
-        "_pieces",
-        *[F.trim(text.element(F.col("_pieces"), i)).alias(f.name) for i, f in enumerate(fields, start=1)],
-    )
-    rules = {**line_rules(F.col("_pieces"), field_count=len(fields)), **schema_rules(spec.schema)}
-    good, rejects = split_rejects(pieces, rules)
-    typed = good.select(*spec.keep, *[cast_to(F.col(f.name), f).alias(f.name) for f in fields])
-    return typed, rejects.select(*spec.keep, spec.line, "reject_reason")
+    pieces = [F.trim(text.element(F.col("_pieces"), i)) for i, _ in enumerate(fields, start=1)]
+    raw = F.struct(*[p.alias(f.name) for p, f in zip(pieces, fields)])
+    typed = F.struct(*[cast_to(p, f).alias(f.name) for p, f in zip(pieces, fields)])
+    # One row per line out of an explode: the rules below read each value, none casts it again.
+    both = F.explode(F.array(F.struct(raw.alias("raw"), typed.alias("typed"))))
+    rows = split_lines(lines, spec.line, spec.sep).withColumn("_row", both)
+    rules = {
+        **line_rules(F.col("_pieces"), field_count=len(fields)),
+        **schema_rules(spec.schema, "_row.raw.", "_row.typed."),
+    }
+    good, rejects = split_rejects(rows, rules)
+    return good.select(*spec.keep, "_row.typed.*"), rejects.select(*spec.keep, spec.line, "reject_reason")
 
 
 def stage_entries(lines: DataFrame, spec: EntrySpec) -> tuple[DataFrame, DataFrame]:

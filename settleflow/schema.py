@@ -101,14 +101,19 @@ def apply_schema(df: DataFrame, schema: T.StructType, strict: bool = False) -> D
     return df.select(*columns)
 
 
-def schema_rules(schema: T.StructType) -> dict[str, Column]:
-    """Reasons why a row does not fit a schema, as conditions over the uncast columns."""
+def schema_rules(schema: T.StructType, raw: str = "", typed: str | None = None) -> dict[str, Column]:
+    """Reasons why a row does not fit a schema, as conditions over the uncast columns.
+
+    ``raw`` and ``typed`` are prefixes of the uncast and, when they exist already, the cast columns.
+    """
     rules = {}
     for field in schema.fields:
-        value = F.col(field.name)
+        value = F.col(raw + field.name)
+        cast = cast_to(value, field) if typed is None else F.col(typed + field.name)
         if not field.nullable and "default" not in field.metadata:
             rules[f"{field.name}: null"] = value.isNull()
-        rules[f"{field.name}: not {field.dataType.simpleString()}"] = value.isNotNull() & cast_to(value, field).isNull()
+        if not isinstance(field.dataType, T.StringType):
+            rules[f"{field.name}: not {field.dataType.simpleString()}"] = value.isNotNull() & cast.isNull()
         if "length" in field.metadata:
             rules[f"{field.name}: too long"] = F.char_length(value.cast("string")) > field.metadata["length"]
     return rules
