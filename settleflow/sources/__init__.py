@@ -11,6 +11,7 @@ from settleflow.sources.sinks import (
     write_groups,
     write_insert,
     write_jdbc,
+    write_snapshot,
 )
 from settleflow.sources.tables import (
     fixed_rows,
@@ -42,4 +43,5 @@ __all__ = [
     "write_groups",
     "write_insert",
     "write_jdbc",
+    "write_snapshot",
 ]

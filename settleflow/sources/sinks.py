@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
@@ -40,6 +41,16 @@ def write_insert(df: DataFrame, target: str, cols: Sequence[str] | None = None,
         out.saveAsTable(target)
 
 
+def write_snapshot(df: DataFrame, root: str) -> str:
+    """Write a new snapshot of a table beside the old ones and return its path.
+
+    A merge reads the snapshot it replaces, so the old one must stay until the new one is complete.
+    """
+    path = f"{root.rstrip('/')}/snapshot-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
 def write_groups(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write one partition per group. Rows are gathered by group, a group too big for one task is split."""
     df.hint("rebalance", F.col(GROUP)).write.mode(mode).partitionBy(GROUP).parquet(path)

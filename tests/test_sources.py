@@ -7,6 +7,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from settleflow.operators import merge_upsert
 from settleflow.schema import schema_of
 from settleflow.sources import (
     append_by_name,
@@ -23,6 +24,7 @@ from settleflow.sources import (
     write_delimited,
     write_groups,
     write_insert,
+    write_snapshot,
 )
 
 from conftest import bag
@@ -134,3 +136,11 @@ def test_names_differing_by_case_are_refused(spark):
     twins = spark.createDataFrame([(1, 2)], "a int, b int").toDF("k", "K")
     with pytest.raises(ValueError):
         append_by_name(twins, target)
+
+
+def test_a_merge_goes_to_a_new_snapshot(spark, tmp_path):
+    first = write_snapshot(spark.range(5).selectExpr("id AS k", "'old' AS v"), str(tmp_path))
+    source = spark.range(3, 8).selectExpr("id AS k", "'new' AS v")
+    second = write_snapshot(merge_upsert(spark.read.parquet(first), source, ["k"]), str(tmp_path))
+    assert spark.read.parquet(first).count() == 5
+    assert bag(spark.read.parquet(second)) == [(k, "old" if k < 3 else "new") for k in range(8)]
