@@ -7,11 +7,10 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from settleflow.queries import ORACLES, QUERIES
 
 from conftest import SMALL
 
-QUERIES, ORACLES = queries(), oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck():
@@ -45,5 +44,10 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_entry_point_offers_every_query():
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLES) <= set(oracle_sql())
+
+
 def test_entry_has_rows(spark):
     assert entry(spark).count() > 0
