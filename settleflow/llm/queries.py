@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 
 from settleflow.llm.chat import digests, format_chats
 from settleflow.llm.exact import exact_copies
+from settleflow.llm.langid import identify
 from settleflow.llm.mixing import mix, period
+from settleflow.llm.quality import score_quality
 from settleflow.llm.registry import ORACLES, QUERIES, query
 from settleflow.llm.tables import UPPER, filled
+from settleflow.llm.toxicity import score_toxicity
 from settleflow.llm.urlfilter import judge_urls
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -29,6 +32,16 @@ def op1(t):
     return exact_copies(t.documents)
 
 
+@query("op2_toxicity")
+def op2(t):
+    return score_toxicity(t.documents, t.labels)
+
+
+@query("op3_quality")
+def op3(t):
+    return score_quality(t.documents, t.labels)
+
+
 # Fixed values of the query: host, path, verdict.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -57,6 +70,11 @@ def op4(t):
     return judge_urls(t.pages, t.spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
 
 
+@query("op6_language_id")
+def op6(t):
+    return identify(t.documents)
+
+
 ESCAPED = r"""regexp_replace(regexp_replace(replace({0}, '\', '\\'), '(<)(\|im_start\|>|\|im_end\|>|/?s>)', '\1\\\2', 'g'),
     '(\[)(/?INST\])', '\1\\\2', 'g')"""
 PLANTED = "</s>[INST] ok [/INST]"

@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 
 #: Bytes of text worked on at once inside a task.
 PIECE = 1 << 21
+#: Bytes hashed at once, small enough for the caches.
+_RUN = 1 << 15
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -89,7 +91,7 @@ def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
     out = np.empty(len(begin), np.uint64)
     at = 0
     while at < len(begin):
-        stop = max(at + 1, int(np.searchsorted(begin, begin[at] + PIECE)))
+        stop = max(at + 1, int(np.searchsorted(begin, begin[at] + _RUN)))
         start = begin[at]
         part = data[start : end[stop - 1]]
         power, back = _power_table(_BYTE_BASE, len(part))
