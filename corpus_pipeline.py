@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from settleflow.llm.exact import exact_copies
 from settleflow.llm.mixing import mix
+from settleflow.llm.quality import score_quality
 from settleflow.llm.queries import BLOCK, SHARES
 from settleflow.llm.tables import written
 from settleflow.session import configure
@@ -23,6 +24,12 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return docs.join(gone, F.col("doc_id") == F.col("__dropped_id"), "left_anti")
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the classifier gives a score of at least 0.3."""
+    labels = configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return _without(docs, score_quality(docs, labels).where("predicted = 0"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the largest id stays."""
     configure(spark)
@@ -35,7 +42,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mix(docs, SHARES, BLOCK)
 
 
-STAGES = [("exact_dedup", exact_dedup), ("mixing", mixing)]
+STAGES = [("quality", quality), ("exact_dedup", exact_dedup), ("mixing", mixing)]
 
 # Quality and near duplicates cannot be said in SQL; tests/llm compares with a brute-force version.
 ORACLE_SQL = None
