@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from settleflow.llm.chat import digests, format_chats
+from settleflow.llm.contamination import contained_items
 from settleflow.llm.exact import exact_copies
 from settleflow.llm.langid import identify
 from settleflow.llm.mixing import mix, period
+from settleflow.llm.minhash import near_copies
 from settleflow.llm.quality import score_quality
 from settleflow.llm.registry import ORACLES, QUERIES, query
 from settleflow.llm.tables import UPPER, filled
@@ -75,6 +77,11 @@ def op6(t):
     return identify(t.documents)
 
 
+@query("op7_near_dedup")
+def op7(t):
+    return near_copies(t.documents)
+
+
 ESCAPED = r"""regexp_replace(regexp_replace(replace({0}, '\', '\\'), '(<)(\|im_start\|>|\|im_end\|>|/?s>)', '\1\\\2', 'g'),
     '(\[)(/?INST\])', '\1\\\2', 'g')"""
 PLANTED = "</s>[INST] ok [/INST]"
@@ -124,6 +131,28 @@ def op8(t):
     return digests(format_chats(chat_records(t.conversations)))
 
 
+def _shingles_sql(table: str, id: str) -> str:
+    """Distinct five-word shingles of a table; fewer words are one."""
+    return f"""
+    SELECT DISTINCT {id}, array_to_string(w[i : i + 4], ' ') AS s
+    FROM (SELECT {id}, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i
+          FROM (SELECT {id}, regexp_extract_all({LOWERED}, '[^\\x20\\x09-\\x0D]+') AS w FROM {table}) WHERE len(w) > 0)"""
+
+
+@query(
+    "op9_decontamination",
+    f"""
+    WITH d AS ({_shingles_sql("documents", "doc_id")}), b AS ({_shingles_sql("benchmark", "item_id")}),
+    n AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY item_id),
+    x AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN b ON d.s = b.s GROUP BY doc_id, item_id)
+    SELECT doc_id, x.item_id, n_item, n_shared, n_shared / n_item AS containment
+    FROM x JOIN n ON n.item_id = x.item_id WHERE 100 * n_shared >= 75 * n_item
+    """,
+)
+def op9(t):
+    return contained_items(t.documents, t.benchmark)
+
+
 # Slots of each source in a period.
 SHARES = {f"src{i}": 20 if i == 0 else 3 + i % 5 for i in range(20)}
 BLOCK = 16
