@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from settleflow.llm.contamination import contained_items
 from settleflow.llm.exact import exact_copies
+from settleflow.llm.minhash import near_copies
 from settleflow.llm.mixing import mix
 from settleflow.llm.quality import score_quality
 from settleflow.llm.queries import BLOCK, SHARES
@@ -36,13 +38,31 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _without(docs, exact_copies(docs).where("NOT kept"))
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near duplicates linked with each other the one with the smallest id stays."""
+    configure(spark)
+    return _without(docs, near_copies(docs).where("NOT kept"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    benchmark = configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return _without(docs, contained_items(docs, benchmark).select("doc_id").distinct())
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every document in the mixture of sources."""
     configure(spark)
     return mix(docs, SHARES, BLOCK)
 
 
-STAGES = [("quality", quality), ("exact_dedup", exact_dedup), ("mixing", mixing)]
+STAGES = [
+    ("quality", quality),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+]
 
 # Quality and near duplicates cannot be said in SQL; tests/llm compares with a brute-force version.
 ORACLE_SQL = None
