@@ -12,6 +12,7 @@ from settleflow.llm.mixing import mix, period
 from settleflow.llm.minhash import near_copies
 from settleflow.llm.quality import score_quality
 from settleflow.llm.registry import ORACLES, QUERIES, query
+from settleflow.llm.substring import remove_repeats
 from settleflow.llm.tables import UPPER, filled
 from settleflow.llm.toxicity import score_toxicity
 from settleflow.llm.urlfilter import judge_urls
@@ -72,6 +73,13 @@ def op4(t):
     return judge_urls(t.pages, t.spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
 
 
+@query("op5_substring_dedup")
+def op5(t):
+    return remove_repeats(t.documents, 35).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query("op6_language_id")
 def op6(t):
     return identify(t.documents)
