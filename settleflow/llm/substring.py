@@ -52,7 +52,8 @@ def anchors(words: np.ndarray, bounds: np.ndarray, short: int, long: int) -> tup
     least, width = hashes.copy(), 1
     while width < span:  # least over ``width`` places, doubled until it covers the span
         step = min(width, span - width)
-        least[: len(least) - step] = np.minimum(least[: len(least) - step], least[step:])
+        if step < len(least):
+            least[:-step] = np.minimum(least[:-step], least[step:])
         width += step
     has = np.repeat(bounds[1:], np.diff(bounds)) - np.arange(len(words)) >= long
     of_window = np.where(has, least, 0)

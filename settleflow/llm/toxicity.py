@@ -199,7 +199,7 @@ def _odds(present: np.ndarray, positive: np.ndarray, n1: int, n0: int) -> np.nda
     return np.tanh((np.log((positive + 0.5) / (n1 + 1)) - np.log((present - positive + 0.5) / (n0 + 1))) / 2) * 2
 
 
-def train(samples: list[tuple[str, int]], epochs: int = 6, rate: float = 0.01, seed: int = 5) -> Network | float:
+def train(samples: list[tuple[str, int]], steps: int = 280, rate: float = 0.01, seed: int = 5) -> Network | float:
     """Fit on labelled texts; with one class only, the smoothed share of label 1.
 
     A label holds for a whole text, of which some window shows why. Each epoch takes, of every text,
@@ -239,7 +239,8 @@ def train(samples: list[tuple[str, int]], epochs: int = 6, rate: float = 0.01, s
     state = {name: (np.zeros_like(v), np.zeros_like(v)) for name, v in net.p.items()}
     share = np.where(labels == 1, 0.5 / n1, 0.5 / n0).astype(np.float32)
     step = 0
-    for epoch in range(epochs):
+    batches = max(1, (len(labels) + n0) // 64)
+    for epoch in range(-(-steps // batches)):
         inputs = net.inputs(ids, grams, first)
         if epoch:
             strength = net.window_logits(inputs, index)
@@ -253,7 +254,7 @@ def train(samples: list[tuple[str, int]], epochs: int = 6, rate: float = 0.01, s
         chosen = np.concatenate([top, other[clean]])
         truth = np.concatenate([labels, np.zeros(len(clean), np.float32)])
         weight = np.concatenate([share, share[clean]])
-        for rows in np.array_split(rng.permutation(len(chosen)), max(1, len(chosen) // 64)):
+        for rows in np.array_split(rng.permutation(len(chosen)), batches):
             part = index[chosen[rows]].T
             used, place = np.unique(part, return_inverse=True)
             place = place.reshape(part.shape)
