@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DECIMAL = "decimal(38,4)"
-# Operands of a division: 14 integer digits keep the quotient exact to 18 decimals.
+# Operands of up to 14 integer digits, whose quotient Spark keeps to more decimals than it keeps for larger ones.
 OPERAND = "decimal(18,4)"
 
 
@@ -44,8 +44,8 @@ def bd_subtract(a: Column, b: Column) -> Column:
 
 
 def bd_multiply(a: Column, b: Column) -> Column:
-    """Product of two amounts; operands are narrowed so that no digit of the result is lost."""
-    return a.cast(OPERAND) * b.cast(OPERAND)
+    """Product of two amounts, rounded to the six decimals that leave most room for large ones."""
+    return a.cast(DECIMAL) * b.cast(DECIMAL)
 
 
 def bd_negate(a: Column) -> Column:
@@ -57,9 +57,15 @@ def bd_abs(a: Column) -> Column:
 
 
 def bd_divide(a: Column, b: Column, scale: int) -> Column:
-    """Quotient rounded half up to ``scale``; NULL for a zero divisor."""
-    divisor = F.nullif(b.cast(OPERAND), F.lit(0).cast(OPERAND))
-    return F.round(a.cast(OPERAND) / divisor, scale)
+    """Quotient rounded half up to ``scale``; NULL for a zero divisor.
+
+    Operands beyond 14 integer digits are divided at full width, where the quotient has six
+    decimals before it is rounded.
+    """
+    a, b = a.cast(DECIMAL), b.cast(DECIMAL)
+    zero = F.lit(0).cast(DECIMAL)
+    close = F.round(a.try_cast(OPERAND) / F.nullif(b.try_cast(OPERAND), F.lit(0).cast(OPERAND)), scale)
+    return F.coalesce(close.cast(f"decimal(38,{scale})"), F.round(a / F.nullif(b, zero), scale).cast(f"decimal(38,{scale})"))
 
 
 def set_scale(a: Column, scale: int) -> Column:

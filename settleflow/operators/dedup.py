@@ -98,36 +98,60 @@ def dup_rows(
 
 
 def cap_per_group(
-    df: DataFrame, by: Sequence[str], order_by: Sequence[Column | str], k: int = 15, rank: str | None = None
+    df: DataFrame, by: Sequence[str], order_by: Sequence[Column | str], k: int, rank: str | None = None
 ) -> DataFrame:
-    """The first ``k`` rows of every class, with their place in ``rank`` when it is named."""
+    """The first ``k`` rows of every class, with their place in ``rank`` when it is named.
+
+    Rows the order leaves tied are ordered by their other columns, however large ``k`` is.
+    """
     threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
     if k > threshold:
         # Too many to cut on the map side: number the rows without gathering a class.
         from settleflow.operators.sequence import with_sequence
 
-        out = with_sequence(df, "_rank", order_by, partition_by=by).filter(F.col("_rank") <= k)
+        out = with_sequence(df, "_rank", ordering(df, by, order_by), partition_by=by).filter(F.col("_rank") <= k)
     else:
         out = ranked(df, by, order_by, k)
     return out.withColumn(rank, F.col("_rank").cast("bigint")).drop("_rank") if rank else out.drop("_rank")
 
 
+def _exact(df: DataFrame, amount: str, scale: int) -> Column:
+    """Amounts as decimals: at the scale of the column, doubles at ``scale`` if they fit it."""
+    kind, value = df.schema[amount].dataType, F.col(amount)
+    if isinstance(kind, T.DecimalType):
+        return value.cast(T.DecimalType(38, kind.scale))
+    if isinstance(kind, T.IntegralType):
+        return value.cast("decimal(38,0)")
+    fits = F.abs(value - F.round(value, scale)) <= 1e-9 * F.greatest(F.abs(value), F.lit(1.0))
+    said = F.concat(F.lit(f"{amount} has more than {scale} decimals: "), value.cast("string"))
+    return F.when(fits | value.isNull(), value.cast(f"decimal(38,{scale})")).otherwise(
+        F.raise_error(said).cast(f"decimal(38,{scale})")
+    )
+
+
 def net_zero(
-    df: DataFrame, keys: Sequence[str], amount: str, tol: float = 0
+    df: DataFrame, keys: Sequence[str], amount: str, tol: float = 0, scale: int = 4
 ) -> tuple[DataFrame, DataFrame]:
     """Separate entries that cancel out: ``(kept, netted)``.
 
     All rows of a key are netted when there are several and their amounts sum to zero within
-    ``tol``. Amounts are summed as decimals, so the order of summation does not matter.
+    ``tol``. Amounts are summed as decimals, so the order of summation does not matter: at the scale of a decimal
+    column, and at ``scale`` for doubles, of which one that has more decimals ends the job. A NULL key matches
+    nothing and a NULL amount cancels nothing: such rows are kept.
     """
     names = [f"_k{i}" for i in range(len(keys))]
+    known = F.col(amount).isNotNull()
+    for key in keys:
+        known = known & F.col(key).isNotNull()
     sums = (
-        df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-        .agg(F.sum(F.col(amount).cast("decimal(28,4)")).alias("_sum"), F.count(F.lit(1)).alias("_n"))
-        .filter((F.col("_n") > 1) & (F.abs("_sum") <= F.lit(str(tol)).cast("decimal(28,4)")))
-        .select(*names)
+        df.filter(known)
+        .groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+        .agg(F.sum(_exact(df, amount, scale)).alias("_sum"), F.count(F.lit(1)).alias("_n"))
+        .filter((F.col("_n") > 1) & (F.abs("_sum") <= F.lit(str(tol)).cast("decimal(38,18)")))
+        .select(*names, F.lit(True).alias("_cancels"))
     )
+    flagged = key_join(df, sums, keys, names, "left").withColumn("_netted", F.col("_cancels").isNotNull() & known)
     return (
-        key_join(df, sums, keys, names, "left_anti", null_safe=True),
-        key_join(df, sums, keys, names, "left_semi", null_safe=True),
+        flagged.filter(~F.col("_netted")).select(*df.columns),
+        flagged.filter("_netted").select(*df.columns),
     )

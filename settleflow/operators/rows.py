@@ -153,7 +153,8 @@ def line_rules(
     """Rules for the fields of a line: how many there are, and the 1-based ones that must be dates."""
     rules = {}
     if field_count is not None:
-        rules["field count"] = F.size(pieces) != field_count
+        # A NULL line has no fields at all.
+        rules["field count"] = F.coalesce(F.size(pieces), F.lit(0)) != field_count
     for position, pattern in (dates or {}).items():
         piece = text.element(pieces, position)
         piece = F.trim(piece) if trim else piece

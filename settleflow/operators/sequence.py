@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from settleflow.functions import dates, settlement
+from settleflow.operators.dedup import ordering
 from settleflow.operators.keyjoin import key_join
 from settleflow.session import new_folder
 
@@ -23,7 +24,7 @@ def _numbered(df: DataFrame, order_by: Sequence[Column | str]) -> DataFrame:
     Range partitions sorted inside are written to the shared folder together with the partition and
     position of every row, so that later reads and repeated tasks all see the same ones; a position
     plus the sizes of the partitions before is the number. Sizes need one column of the table. The
-    task number splits rows the order leaves tied.
+    order is total; the task number only splits a long run of rows that are equal in every column.
     """
     spark = df.sparkSession
     folder = new_folder(spark, "sequence")
@@ -61,13 +62,16 @@ def with_sequence(
 ) -> DataFrame:
     """Number the rows ``start, start + step, ...`` in order, over all rows or per group.
 
+    Rows the order leaves tied are ordered by their other columns, so the numbers do not depend on
+    how the rows are partitioned.
+
     The ordered rows are written below ``spark.checkpoint.dir`` at once; remove that table when the
     result is no longer read.
     """
     if not order_by:
         raise ValueError("order_by is required: a sequence follows an order")
     groups = list(partition_by or [])
-    rows = _numbered(df, [*groups, *order_by])
+    rows = _numbered(df, [*groups, *ordering(df, groups, order_by)])
     at = F.col("_at")
     if groups:
         names = [f"_g{i}" for i in range(len(groups))]

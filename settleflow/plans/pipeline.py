@@ -144,14 +144,15 @@ def post_sync(
     """Everything between staging and the final load, and the final load itself.
 
     Staging is read by several outputs: buffer it when it is costly to compute. Nothing staged
-    leaves every table as it is. Otherwise: duplicate activity rows are set aside,
+    leaves every table as it is, but duplicate activity rows are set aside in a run with activity
+    files only too. Otherwise: duplicate activity rows are set aside,
     waiting rows become settled, staging updates production by the first case that holds, templates
     get the ids of their entries, staging rows production lacks go to the merge table, and that
     table is loaded.
     """
     if staging.isEmpty():
         return {
-            "duplicates": truncate(activity),
+            "duplicates": dup_rows(activity, list(spec.keys), spec.order_by),
             "staging": staging,
             "prod": prod,
             "templates": templates,

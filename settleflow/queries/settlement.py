@@ -97,6 +97,19 @@ def _(t: Tables):
     return route_files(files(t), mapping(t))
 
 
+@query(
+    "grp_01_route_files_again",
+    f"""SELECT grp, class, position - 15 AS position, CAST(position - 15 AS VARCHAR) || '.' || name AS routed_name, path, name FROM
+          (SELECT grp_number AS grp, class, path, name,
+             row_number() OVER (PARTITION BY grp_number, class ORDER BY name) AS position
+           FROM {_CLASSED} JOIN {MAPPING_SQL} ON nullif(regexp_extract(name, '[_](\\d{{3,6}})[_.]', 1), '') = network_id
+           WHERE class IS NOT NULL) WHERE position BETWEEN 16 AND 30""",
+)
+def _(t: Tables):
+    doubled = mapping(t).unionByName(mapping(t))
+    return route_files(files(t), doubled, taken=route_files(files(t), doubled))
+
+
 @query(
     "grp_01_route_files_unmapped",
     f"""SELECT CAST(g AS VARCHAR) AS grp, class, position, CAST(position AS VARCHAR) || '.' || name AS routed_name, path, name FROM

@@ -203,17 +203,11 @@ def _(t: Tables):
 @query("snk_05_write_delimited", "SELECT doc_id, lang, text FROM documents")
 def _(t: Tables):
     path = new_folder(t.spark, "documents")
-    safe = F.replace(F.replace(F.replace("text", F.lit("%"), F.lit("%p")), F.lit("\n"), F.lit("%n")), F.lit("\r"), F.lit("%r"))
-    rows = t.documents.select("doc_id", "lang", F.replace(safe, F.lit("\\"), F.lit("%b")).alias("text"))
-    write_delimited(rows, path, ";", header=True, compression="gzip", rows_per_file=300)
+    write_delimited(t.documents.select("doc_id", "lang", "text"), path, ";", header=True, compression="gzip", rows_per_file=300)
     schema = schema_of(
         [{"name": "doc_id", "type": "Long"}, {"name": "lang", "type": "String"}, {"name": "text", "type": "String"}]
     )
-    back = read_delimited(t.spark, path, schema, ";", header=1)
-    text = C("text")
-    for mark, char in (("%b", "\\"), ("%n", "\n"), ("%r", "\r"), ("%p", "%")):
-        text = F.replace(text, F.lit(mark), F.lit(char))
-    return back.select("doc_id", "lang", text.alias("text"))
+    return read_delimited(t.spark, path, schema, ";", header=1, multi_line=True, line_sep="\n")
 
 
 def _exported(t: Tables):

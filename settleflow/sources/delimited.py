@@ -99,9 +99,13 @@ def read_delimited(
     seed: int = 0,
     on_error: str = "null",
     corrupt: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read separated text with declared columns.
 
+    A quote inside quotes is doubled unless another ``escape`` is named. ``multi_line`` reads line breaks inside
+    quotes as part of the value; a file is then one task, so split large ones when writing them.
+
     ``on_error="fail"`` ends the job at a bad row. Otherwise a bad field is NULL, and ``corrupt``
     names a column that holds the whole text of a row with a wrong field count or a bad field.
     ``limit`` reads that many rows, ``random_rows`` a random choice of that many. Compressed files
@@ -132,15 +136,18 @@ def read_delimited(
         "ignoreLeadingWhiteSpace": str(trim).lower(),
         "ignoreTrailingWhiteSpace": str(trim).lower(),
         "quote": quote or "",
+        "escape": escape or '"',
+        "multiLine": str(multi_line).lower(),
     }
+    if multi_line and (header > 1 or footer > 0):
+        raise ValueError("lines cannot be cut off by number where values span lines")
     for kind, formats in patterns.items():
         if len(formats) > 1:
             raise ValueError("one date pattern per file: read the columns as text and use apply_schema")
         if formats:
             options[kind] = formats.pop()
-    for name, value in (("escape", escape), ("columnNameOfCorruptRecord", corrupt)):
-        if value:
-            options[name] = value
+    if corrupt:
+        options["columnNameOfCorruptRecord"] = corrupt
     if header > 1 or footer > 0:
         lines = read_lines(spark, path, "line", header, footer, encoding, line_sep)
         if remove_empty_rows:

@@ -40,8 +40,8 @@ def list_files(
     return files.orderBy(*[c.desc() if desc else c.asc() for c in by])
 
 
-def number_files(manifest: DataFrame, cap: int | None = 15) -> DataFrame:
-    """``iteration, path, name, dir`` of the first ``cap`` files by name, or of all of them."""
+def number_files(manifest: DataFrame, cap: int | None = None) -> DataFrame:
+    """``iteration, path, name, dir`` of all files by name, or of the first ``cap`` of them."""
     rows = manifest.select(
         "path", "name", F.regexp_replace("path", r"/[^/]*$", "").alias("dir")
     )

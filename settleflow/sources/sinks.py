@@ -68,9 +68,13 @@ def write_delimited(
     line_sep: str | None = None,
     rows_per_file: int = 0,
 ) -> None:
-    """Write declared columns as separated text, split after ``rows_per_file`` rows when set."""
+    """Write declared columns as separated text, split after ``rows_per_file`` rows when set.
+
+    Text is written as it is: space around it stays, a quote is doubled, line breaks are quoted.
+    """
     out = (df.select(*cols) if cols else df).write.mode("append" if append else "overwrite")
-    out = out.option("sep", sep).option("header", header).option("emptyValue", "").option("maxRecordsPerFile", rows_per_file)
+    out = out.option("sep", sep).option("header", header).option("emptyValue", '""').option("maxRecordsPerFile", rows_per_file)
+    out = out.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("escape", '"')
     for name, value in (("compression", compression), ("encoding", encoding), ("lineSep", line_sep)):
         if value:
             out = out.option(name, value)

@@ -52,8 +52,14 @@ def fixed_rows(spark: SparkSession, schema: T.StructType, values: Mapping | None
 
 
 def read_mapping(spark: SparkSession, source: str | DataFrame, key: str, value: str) -> DataFrame:
-    """A two-column lookup as text, one row per key; rows without a key or value are left out."""
+    """A two-column lookup as text, one row per key; rows without a key or value are left out.
+
+    A key with different values ends the job: which one counts is not for the reader to choose.
+    """
     rows = read_table(spark, source) if isinstance(source, str) else source
     pairs = rows.select(F.col(key).cast("string").alias(key), F.col(value).cast("string").alias(value))
     known = pairs.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
-    return known.groupBy(key).agg(F.max(value).alias(value))
+    said = F.concat(F.lit(f"{key} has several values of {value}: "), F.col(key))
+    one = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(F.raise_error(said))
+    ends = known.groupBy(key).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+    return ends.select(key, one.alias(value))

@@ -69,7 +69,7 @@ def test_dup_once_is_the_second(skewed):
 
 
 def test_order_is_required(skewed):
-    for call in (lambda: uniq_rows(skewed, ["k"]), lambda: with_sequence(skewed, "n", []), lambda: cap_per_group(skewed, ["k"], [])):
+    for call in (lambda: uniq_rows(skewed, ["k"]), lambda: with_sequence(skewed, "n", []), lambda: cap_per_group(skewed, ["k"], [], 3)):
         with pytest.raises(ValueError):
             call()
 
@@ -93,14 +93,35 @@ def test_cap_above_the_window_limit(skewed, conf):
     assert bag(cap_per_group(skewed, ["k"], ["o", "v"], 20, rank="n")) == bag(small)
 
 
+@pytest.mark.parametrize("limit", ["1000", "1"])
+def test_ties_of_a_cap_do_not_depend_on_the_limit_or_the_partitions(spark, conf, limit):
+    conf(optimizer_windowGroupLimitThreshold=limit)
+    rows = [(1, 7, v) for v in (5, 7, 1, 9, 2, 3)]
+    for parts in (1, 3, 5):
+        tied = spark.createDataFrame(rows, "k int, o int, v int").repartition(parts)
+        assert bag(cap_per_group(tied, ["k"], ["o"], 2)) == [(1, 7, 1), (1, 7, 2)]
+        assert [r["v"] for r in with_sequence(tied, "n", ["o"]).orderBy("n").collect()] == [1, 2, 3, 5, 7, 9]
+
+
 def test_net_zero_parts_cover_the_input(spark):
     rows = spark.createDataFrame(
         [(1, 0.1), (1, 0.2), (1, -0.3), (2, 5.0), (2, -4.0), (3, 0.0), (None, 2.0), (None, -2.0)], "k int, amount double"
     )
     kept, netted = net_zero(rows, ["k"], "amount")
-    assert bag(netted) == bag(rows.filter("k = 1 OR k IS NULL"))
+    assert bag(netted) == bag(rows.filter("k = 1"))
     assert bag(kept.unionByName(netted)) == bag(rows)
-    assert bag(net_zero(rows, ["k"], "amount", tol=1)[1]) == bag(rows.filter("k IN (1, 2) OR k IS NULL"))
+    assert bag(net_zero(rows, ["k"], "amount", tol=1)[1]) == bag(rows.filter("k IN (1, 2)"))
+
+
+def test_net_zero_is_exact_and_keeps_what_is_unknown(spark):
+    rows = spark.createDataFrame([(1, 2.0), (1, -2.0), (1, None), (2, 0.00004), (2, -0.00003)], "k int, amount double")
+    few = rows.filter("k = 1")
+    assert bag(net_zero(few, ["k"], "amount")[1]) == bag(few.filter("amount IS NOT NULL"))
+    with pytest.raises(Exception, match="more than 4 decimals"):
+        net_zero(rows, ["k"], "amount")[0].collect()
+    assert net_zero(rows.filter("k = 2"), ["k"], "amount", scale=5)[1].count() == 0
+    small = rows.select("k", F.col("amount").cast("decimal(20,8)").alias("amount"))
+    assert net_zero(small.filter("k = 2"), ["k"], "amount")[1].count() == 0
 
 
 def test_matched_and_unmatched_cover_the_source(skewed):

@@ -100,6 +100,13 @@ def test_route_needs_a_mapping_when_strict(spark):
     routed = route_files(manifest, known)
     assert sorted((r["class"], r["position"]) for r in routed.collect()) == [("AC", 1)] + [("ST", n) for n in range(1, 16)]
     assert routed.filter("position = 1 AND class = 'ST'").first()["routed_name"] == "1.STL_101_0.txt"
+    again = route_files(manifest, known, taken=routed)
+    assert again.count() == 5 and again.join(routed, "path", "left_semi").count() == 0
+    twice = spark.createDataFrame([("101", "4"), ("101", "5")], empty.schema)
+    with pytest.raises(Exception, match="several values"):
+        route_files(manifest, twice).collect()
+    near = spark.createDataFrame([("/in/TEST/STL_101_1.txt", "STL_101_1.txt")], manifest.schema)
+    assert route_files(near, known).count() == 0
 
 
 def test_groups_run_in_one_plan(spark):

@@ -109,7 +109,9 @@ def test_fixed_rows_and_mapping(spark):
     schema = schema_of([{"name": "a", "type": "id_Integer", "default": "3"}, {"name": "b", "type": "id_String"}])
     assert bag(fixed_rows(spark, schema, {}, 2)) == [(3, None), (3, None)]
     pairs = spark.createDataFrame([(1, 5), (1, 6), (2, None)], "k int, v int")
-    assert bag(read_mapping(spark, pairs, "k", "v")) == [("1", "6")]
+    assert bag(read_mapping(spark, pairs.filter("v = 6 OR v IS NULL"), "k", "v")) == [("1", "6")]
+    with pytest.raises(Exception, match="several values"):
+        read_mapping(spark, pairs, "k", "v").collect()
 
 
 def test_insert_modes(spark, tmp_path):
