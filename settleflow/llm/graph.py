@@ -8,50 +8,54 @@ from pyspark.sql import functions as F
 from settleflow.llm.tables import written
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node has one edge, to a node that has none: then that node is its component."""
+    per_node = edges.groupBy("u").agg(F.count_distinct("v").alias("_n"))
+    if not per_node.where("_n > 1").isEmpty():
+        return False
+    return edges.select(F.col("v").alias("_v")).join(edges, F.col("_v") == F.col("u"), "left_semi").isEmpty()
 
 
-def _linked_to_least(pairs: DataFrame, larger_only: bool) -> DataFrame:
-    """For every node u: link its neighbours to the least node seen from u.
+def _linked_to_least(pairs: DataFrame) -> DataFrame:
+    """``u``, ``v``, ``m``: every edge with the least node seen from u.
 
     The least neighbour is a minimum summed inside map tasks; it is written, so that the join with the
     neighbours has an exchange on both sides and a hub's neighbours can be split over tasks.
     """
-    least = written(
-        pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("_u"), F.least("u", "m").alias("m")), "graph-least"
+    least = pairs.groupBy(F.col("u").alias("_u")).agg(F.least(F.first("u"), F.min("v")).alias("m"))
+    return pairs.join(written(least, "graph-least", narrow=True), F.col("u") == F.col("_u")).drop("_u")
+
+
+def contracted(edges: DataFrame) -> DataFrame:
+    """The same components with fewer, lower edges: one large-star and one small-star step.
+
+    Every node links the larger, then the smaller of its neighbours to the least one it knows. ``edges`` has ``v < u``.
+    """
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    large = written(
+        _linked_to_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), "graph-large", narrow=True
     )
-    joined = pairs.join(least, F.col("u") == F.col("_u"))
-    if larger_only:
-        joined = joined.where("v > u")
-    return joined.select(F.col("v").alias("a"), F.col("m").alias("b"))
+    # The smaller neighbours and u itself, which stands for each of its edges, join the least.
+    small = _linked_to_least(large).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
+    return written(small.where("u <> v").distinct(), "graph", narrow=True)
+
+
+def downward(edges: DataFrame) -> DataFrame:
+    """Edges from the larger to the smaller node, without loops and null ends."""
+    return edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """``id``, ``component`` of every node of the edges ``u``, ``v``: the least node it can reach.
 
-    Alternating large-star and small-star steps: every node links the larger (then the smaller) of its neighbours to
-    the least one it knows, until nothing changes. All remaining edges then lead to the least node. The steps only
-    regroup edges; nothing but two numbers per round reaches the driver. Loops and null ends are ignored.
+    Contracts until every edge leads to the least node of its component. The steps only
+    regroup edges; nothing but whether it is done reaches the driver. Loops and null ends are ignored.
     """
-    edges = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "graph")
-    before = _state(edges)
+    edges = written(downward(edges).distinct(), "graph", narrow=True)
     for _ in range(rounds):
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = written(
-            _linked_to_least(both, larger_only=True).where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(),
-            "graph-large",
-        )
-        # Here v < u everywhere; u itself joins its smaller neighbours.
-        small = _linked_to_least(large, larger_only=False)
-        least_of = large.groupBy("u").agg(F.min("v").alias("b")).select(F.col("u").alias("a"), "b")
-        edges = written(
-            small.unionByName(least_of).where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "graph"
-        )
-        after = _state(edges)
-        if after == before:
+        if _settled(edges):
             break
-        before = after
+        edges = contracted(edges)
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()

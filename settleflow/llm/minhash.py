@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from settleflow.llm.graph import components
+from settleflow.llm.graph import components, contracted, downward
 from settleflow.llm.tables import written
 from settleflow.llm.words import Runs, Texts, hashed, lists, mixed, pieces, shingles
 
@@ -112,12 +112,12 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     left = texts.select(F.col("_id").alias("_iu"), F.col("_text").alias("_text_u"))
     right = texts.select(F.col("_id").alias("_iv"), F.col("_text").alias("_text_v"))
     joined = pairs.join(left, F.col("u") == F.col("_iu")).join(right, F.col("v") == F.col("_iv"))
-    return written(_similar(joined, percent).distinct(), "near-links")
+    return written(_similar(joined, percent), "near-links")
 
 
 def _prefix_rows(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """``_token``, ``_id``, ``_comp``, ``_n``: the rarest shingles of each set, enough that any two sets
-    which are similar enough share one of them."""
+    """``_token``, ``_id``, ``_comp``, ``_n``, ``_at``: the rarest shingles of each set with their rank, enough that any
+    two sets which are similar enough share one of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,7 +140,7 @@ def _prefix_rows(members: DataFrame, texts: DataFrame, percent: int) -> DataFram
         joined.select("_id", "_comp", "_text").mapInArrow(run, f"_id {kind}, _comp {kind}, _n long, _token long"), "near-tokens"
     )
     common = written(
-        tokens.groupBy("_token").agg(F.count(F.lit(1)).alias("_df")).where("_df > 1").withColumnRenamed("_token", "_t"), "near-common"
+        tokens.groupBy("_token").agg(F.count(F.lit(1)).alias("_df")).where("_df > 1").withColumnRenamed("_token", "_t"), "near-common", narrow=True
     )
     ranked = tokens.join(common, F.col("_token") == F.col("_t"), "left").select(
         "_id", "_comp", "_n", F.struct(F.coalesce("_df", F.lit(1)).alias("df"), F.col("_token").alias("token")).alias("_r")
@@ -148,9 +148,9 @@ def _prefix_rows(members: DataFrame, texts: DataFrame, percent: int) -> DataFram
     keep = (F.col("_n") - F.ceil(F.col("_n") * percent / 100) + 1).cast("int")
     prefix = ranked.groupBy("_id", "_comp", "_n").agg(F.sort_array(F.collect_list("_r")).alias("_all"))
     return (
-        prefix.select("_id", "_comp", "_n", F.explode(F.slice("_all", F.lit(1), keep)).alias("_r"))
+        prefix.select("_id", "_comp", "_n", F.posexplode(F.slice("_all", F.lit(1), keep)).alias("_at", "_r"))
         .where("_r.df > 1")
-        .select(F.col("_r.token").alias("_token"), "_id", "_comp", "_n")
+        .select(F.col("_r.token").alias("_token"), "_id", "_comp", "_n", "_at")
     )
 
 
@@ -159,25 +159,27 @@ def _rest(members: DataFrame, texts: DataFrame, tested: DataFrame, percent: int)
 
     Prefix filtering: only sets that share one of their rarest shingles can be similar enough, which a common
     passage is not. For every such shingle, the members outside its most frequent component meet all
-    its members of other components.
+    its members of other components, if what follows the shingle in both sets (ranked alike) could be overlap enough: of
+    two similar sets that holds at the first shingle they share.
     """
     rows = written(_prefix_rows(members, texts, percent), "near-prefix")
     main = written(
         rows.groupBy("_token", "_comp").agg(F.count(F.lit(1)).alias("_c")).groupBy("_token")
         .agg(F.max_by("_comp", F.struct("_c", "_comp")).alias("_main"), F.count(F.lit(1)).alias("_comps"))
         .where("_comps > 1").select(F.col("_token").alias("_t"), "_main"),
-        "near-main",
+        "near-main", narrow=True,
     )
     shared = written(rows.join(main, F.col("_token") == F.col("_t")).drop("_t"), "near-shared")
-    some = shared.where("_comp <> _main").select("_token", *[F.col(c).alias(f"{c}1") for c in ("_id", "_comp", "_n")])
-    close = (100 * F.least("_n", "_n1") >= percent * F.greatest("_n", "_n1")) & (F.col("_comp") != F.col("_comp1"))
+    some = shared.where("_comp <> _main").select("_token", *[F.col(c).alias(f"{c}1") for c in ("_id", "_comp", "_n", "_at")])
+    most = F.least(F.col("_n") - F.col("_at"), F.col("_n1") - F.col("_at1"))
+    close = ((100 + percent) * most >= percent * (F.col("_n") + F.col("_n1"))) & (F.col("_comp") != F.col("_comp1"))
     pairs = (
         some.join(shared, "_token").where(close)
         .select(F.least("_id", "_id1").alias("u"), F.greatest("_id", "_id1").alias("v"))
         .distinct()
         .join(tested, ["u", "v"], "left_anti")
     )
-    return _confirmed(written(pairs, "near-rest"), texts, percent)
+    return _confirmed(written(pairs, "near-rest", narrow=True), texts, percent)
 
 
 def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
@@ -201,36 +203,37 @@ def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", percent
     texts = docs.select(F.col(id).alias("_id"), F.col(text).cast("string").alias("_text"))
     sketch = written(_sketches(texts), "near-sketch")
     usable = sketch.where("_key IS NOT NULL AND _id IS NOT NULL")
-    nodes = written(usable.groupBy("_key").agg(F.min("_id").alias("_rep")), "near-nodes")
+    nodes = written(usable.groupBy("_key").agg(F.min("_id").alias("_rep")), "near-nodes", narrow=True)
     reps = usable.join(nodes.select(F.col("_rep")), F.col("_id") == F.col("_rep"), "left_semi")
     rows = reps.select("_id", F.explode("_bands").alias("_band")).distinct()
     centers = (
         rows.groupBy("_band").agg(F.min("_id").alias("_center"), F.count(F.lit(1)).alias("_size"))
         .where("_size > 1").withColumnRenamed("_band", "_b")
     )
-    members = written(rows.join(written(centers, "near-centers"), F.col("_band") == F.col("_b")).drop("_b"), "near-members")
+    members = written(rows.join(written(centers, "near-centers", narrow=True), F.col("_band") == F.col("_b")).drop("_b"), "near-members")
     pairs = written(
-        members.where("_id <> _center").select(F.col("_center").alias("u"), F.col("_id").alias("v")).distinct(), "near-pairs"
+        members.where("_id <> _center").select(F.col("_center").alias("u"), F.col("_id").alias("v")).distinct(), "near-pairs", narrow=True
     )
-    ends = written(pairs.select(F.explode(F.array("u", "v")).alias("_end")).distinct(), "near-ends")
+    ends = written(pairs.select(F.explode(F.array("u", "v")).alias("_end")).distinct(), "near-ends", narrow=True)
     needed = written(texts.join(ends, F.col("_id") == F.col("_end"), "left_semi"), "near-texts")
     links = _confirmed(pairs, needed, percent)
-    found = written(components(links), "near-found")
-    known = members.where("_size > 2").join(found, F.col("_id") == F.col("id"), "left").select(
-        "_band", "_id", F.coalesce("component", "_id").alias("_comp")
+    # One contraction tells most of what is connected; that is all the next step needs.
+    edges = contracted(written(downward(links).distinct(), "near-edges", narrow=True))
+    label = edges.groupBy(F.col("u").alias("_u")).agg(F.min("v").alias("_v"))
+    known = members.where("_size > 2").join(label, F.col("_id") == F.col("_u"), "left").select(
+        "_band", "_id", F.coalesce("_v", "_id").alias("_comp")
     )
     split = known.groupBy("_band").agg(F.min("_comp").alias("_low"), F.max("_comp").alias("_high")).where("_low <> _high")
-    open_bands = written(split.select(F.col("_band").alias("_b")), "near-open")
+    open_bands = written(split.select(F.col("_band").alias("_b")), "near-open", narrow=True)
     if not open_bands.isEmpty():
-        left = written(known.join(open_bands, F.col("_band") == F.col("_b")).select("_id", "_comp").distinct(), "near-left")
-        more = _rest(left, needed, pairs, percent)
-        if not more.isEmpty():
-            found = written(components(links.unionByName(more)), "near-found")
+        left = written(known.join(open_bands, F.col("_band") == F.col("_b")).select("_id", "_comp").distinct(), "near-left", narrow=True)
+        edges = edges.unionByName(downward(_rest(left, needed, pairs, percent)))
+    found = written(components(edges), "near-found", narrow=True)
     of_key = written(
         nodes.join(found, F.col("_rep") == F.col("id"), "left").select(
             F.col("_key").alias("_k"), F.coalesce("component", "_rep").alias("_component")
         ),
-        "near-of-key",
+        "near-of-key", narrow=True,
     )
     slim = sketch.select("_id", "_key", "_n")
     linked = slim.where("_key IS NOT NULL AND _id IS NOT NULL").join(of_key, F.col("_key") == F.col("_k"))

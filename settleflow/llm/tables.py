@@ -10,15 +10,17 @@ from settleflow.session import new_folder
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     """The rows of ``df`` as a table in the shared folder.
 
     Cuts the lineage without executor-local blocks, so a lost executor costs a re-read. The table
-    stays until it is removed, as results are evaluated late.
+    stays until it is removed, as results are evaluated late. ``narrow`` is for tables of ids, keys and
+    links, far smaller than the texts: they are written by four tasks per core, not one per shuffle partition.
     """
-    folder = new_folder(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    spark = df.sparkSession
+    folder = new_folder(spark, name)
+    (df.coalesce(4 * spark.sparkContext.defaultParallelism) if narrow else df).write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def filled(text: Column) -> Column:
