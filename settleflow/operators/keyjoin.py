@@ -15,9 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from settleflow.session import new_folder
+
 LEFT_SLOT, RIGHT_SLOT = "_left_slot", "_right_slot"
-# A key is hot when it has more than this share of the rows, so at most 1 / HOT_SHARE keys are.
+# A key is hot when it has more than this share of the rows, so at most 1 / HOT_SHARE keys are, and so many rows.
 HOT_SHARE = 0.001
+HOT_ROWS = 10_000
 # Keys and counters of the frequency sketch: its size does not depend on the data.
 SKETCH_KEYS, SKETCH_COUNTERS = 1_000, 10_000
 
@@ -73,18 +76,30 @@ def key_join(
     return left.join(right, on, how).select(*columns)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], types: Sequence[T.DataType] | None = None) -> DataFrame:
-    """Hashes (``_hot``) of the keys with more than ``HOT_SHARE`` of the rows, at most 1,000 of them.
+def _key_text(keys: Sequence[str], types: Sequence[T.DataType]) -> Column:
+    """A text that tells keys apart; NULL if any of them is."""
+    # Adding zero turns -0.0 into 0.0, which is the same key.
+    values = [F.col(k).cast(t) + F.lit(0.0) if isinstance(t, T.FractionalType) and not isinstance(t, T.DecimalType) else F.col(k).cast(t) for k, t in zip(keys, types)]
+    parts = [value.cast("string") for value in values]
+    known = F.lit(True)
+    for part in parts:
+        known = known & part.isNotNull()
+    return F.when(known, F.concat_ws("|", *[F.concat(F.length(p).cast("string"), F.lit(":"), p) for p in parts]))
+
 
-    A frequency sketch per task, merged: one pass over the keys and no shuffle of them. What it
-    finds decides where rows go, never whether they are kept.
+def hot_keys(df: DataFrame, keys: Sequence[str], types: Sequence[T.DataType], least: int = HOT_ROWS) -> DataFrame:
+    """Keys as text (``_hot``) with more than ``HOT_SHARE`` of the rows and ``least`` of them, at most 1,000.
+
+    A frequency sketch per task, merged: one pass over the keys and no shuffle of them. It is written, as
+    both sides of a join and all its tasks have to see the same keys.
     """
-    hashed = df.select(key_hash(keys, types or [df.schema[k].dataType for k in keys]).alias("_hash"))
-    top = hashed.agg(
-        F.expr(f"approx_top_k(_hash, {SKETCH_KEYS}, {SKETCH_COUNTERS})").alias("top"), F.count(F.lit(1)).alias("n")
-    )
+    texts = df.select(_key_text(keys, types).alias("_key")).filter("_key IS NOT NULL")
+    top = texts.agg(F.expr(f"approx_top_k(_key, {SKETCH_KEYS}, {SKETCH_COUNTERS})").alias("top"), F.count(F.lit(1)).alias("n"))
     each = top.select(F.explode("top").alias("key"), "n")
-    return each.filter(F.col("key.count") > HOT_SHARE * F.col("n")).select(F.col("key.item").alias("_hot"))
+    found = each.filter((F.col("key.count") > HOT_SHARE * F.col("n")) & (F.col("key.count") >= least))
+    spark, folder = df.sparkSession, new_folder(df.sparkSession, "hot-keys")
+    found.select(F.col("key.item").alias("_hot")).write.parquet(folder)
+    return spark.read.schema("_hot string").parquet(folder)
 
 
 def salted_join(
@@ -94,41 +109,42 @@ def salted_join(
     right_keys: Sequence[str],
     how: str,
     salts: int,
+    least: int = HOT_ROWS,
 ) -> DataFrame:
     """Left or inner join with the hot keys of either side spread over ``salts`` tasks.
 
-    Keys hot on the right are joined apart: their right rows are spread and their left rows copied
-    to every salt, and for a left join the left rows without a match are added. Of all other keys,
-    those hot on the left have their left rows spread and their right rows copied. The salt is made
-    of the task number, so a task that runs again sends its rows the same way.
+    A key is hot with at least ``least`` rows of one side, whatever the size of the other, so the unique keys
+    of a lookup never are. Rows of a key hot on the left go to one salt each and its right rows to all; with a
+    key hot on the right it is the other way round. All other rows stay single. In a left join, a left row
+    that was copied has a match at some salt, as its key is one of the right side's, so its copies
+    without a match are left out. The salt is made of the task number: a task that runs again sends its
+    rows the same way.
 
-    Both sides are read again to find their hot keys: meant for sides read from files.
+    Each side is read once more to find its hot keys: meant for sides read from files.
     """
     types = _hash_types(left, right, left_keys, right_keys)
     if types is None:
         raise ValueError("a salted join needs keys of the same types on both sides")
     columns = [*left.columns, *right.columns]
     # Both hot sets have a bounded number of rows, whatever the data.
-    hot_left = F.broadcast(hot_keys(left, left_keys, types))
-    hot_right = F.broadcast(hot_keys(right, right_keys, types))
-    left = left.withColumn(LEFT_SLOT, key_hash(left_keys, types))
-    right = right.withColumn(RIGHT_SLOT, key_hash(right_keys, types))
-    spread = F.pmod(F.hash(F.spark_partition_id()), F.lit(salts))
+    left_hot = hot_keys(left, left_keys, types, least).withColumn("_left_hot", F.lit(True))
+    right_hot = hot_keys(right, right_keys, types, least).withColumn("_right_hot", F.lit(True))
+    spread = F.array(F.pmod(F.hash(F.spark_partition_id()), F.lit(salts)))
     every = F.sequence(F.lit(0), F.lit(salts - 1))
-    in_left, in_right = F.col("_hot") == F.col(LEFT_SLOT), F.col("_hot") == F.col(RIGHT_SLOT)
-    on = same_keys([*left_keys, "_salt"], [*right_keys, "_copy"])
-
-    cold = left.join(hot_right, in_left, "left_anti").join(hot_left, in_left, "left")
-    cold = cold.withColumn("_salt", F.when(F.col("_hot").isNotNull(), spread).otherwise(0)).drop("_hot")
-    others = right.join(hot_right, in_right, "left_anti").join(hot_left, in_right, "left")
-    copies = F.when(F.col("_hot").isNotNull(), every).otherwise(F.array(F.lit(0)))
-    others = others.withColumn("_copy", F.explode(copies)).drop("_hot")
-    out = cold.join(others, on, how).select(*columns)
-
-    heavy = right.join(hot_right, in_right, "left_semi").withColumn("_copy", spread)
-    few = left.join(hot_right, in_left, "left_semi")
-    out = out.unionByName(few.withColumn("_salt", F.explode(every)).join(heavy, on, "inner").select(*columns))
-    if how == "left":
-        none = few.join(heavy.select(*right_keys).distinct(), same_keys(left_keys, right_keys), "left_anti")
-        out = out.unionByName(none.drop(LEFT_SLOT), allowMissingColumns=True)
-    return out
+
+    def salted(side: DataFrame, keys: Sequence[str], own: str, other: str, salt: str) -> DataFrame:
+        marked = side.withColumn("_key", _key_text(keys, types))
+        for hot in (left_hot, right_hot):
+            marked = marked.join(F.broadcast(hot), F.col("_key") == F.col("_hot"), "left").drop("_hot")
+        # A key hot on both sides is spread on the right and copied on the left.
+        copied, spreads = F.col(other).isNotNull(), F.col(own).isNotNull()
+        if own == "_left_hot":
+            where = F.when(copied, every).when(spreads, spread)
+        else:
+            where = F.when(spreads, spread).when(copied, every)
+        return marked.withColumn(salt, F.explode(where.otherwise(F.array(F.lit(0))))).drop("_key", own)
+
+    main = salted(left, left_keys, "_left_hot", "_right_hot", "_salt")
+    lookup = salted(right, right_keys, "_right_hot", "_left_hot", "_copy").drop("_left_hot").withColumn("_match", F.lit(True))
+    out = main.join(lookup, same_keys([*left_keys, "_salt"], [*right_keys, "_copy"]), how)
+    return out.filter(F.col("_right_hot").isNull() | F.col("_match").isNotNull()).select(*columns)

@@ -30,6 +30,13 @@ def _has_keys(keys: Sequence[str]) -> Column:
     return known
 
 
+def _pruned(source: DataFrame, cols: Sequence[str], order_by: Sequence[Column | str] | None) -> DataFrame:
+    """Only the columns a merge reads, when its order is given by names: fewer to shuffle and sort."""
+    if not all(isinstance(c, str) for c in order_by or ()):
+        return source
+    return source.select(*dict.fromkeys([*cols, *(order_by or ())]))
+
+
 def unique_source(source: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] | None = None):
     """One row per key, by ``order_by`` or because there is no more than one."""
     if order_by:
@@ -80,6 +87,7 @@ def merge_update(
     """Set ``set_cols`` (all non-key columns the source has) of matching rows, NULLs included."""
     _need_keys(keys)
     names = set_cols or [c for c in source.columns if c in target.columns and c not in keys]
+    source = _pruned(source, [*keys, *names], order_by)
     return merge_cases(target, source, keys, [(F.lit(True), {c: F.col(f"s.{c}") for c in names})], order_by)
 
 
@@ -118,6 +126,6 @@ def link_ids(
 ) -> DataFrame:
     """Fill the id of each template from the entry with the same keys; others keep theirs."""
     _need_keys(keys)
-    ids = entries.select(*dict.fromkeys([*keys, id_col])) if order_by is None else entries
+    ids = _pruned(entries, [*keys, id_col], order_by)
     linked = {id_col: F.coalesce(F.col(f"s.{id_col}"), F.col(f"t.{id_col}"))}
     return merge_cases(templates, ids, keys, [(F.lit(True), linked)], order_by)

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from settleflow.functions import settlement, text
 from settleflow.operators.dedup import dup_rows, net_zero, uniq_rows
 from settleflow.operators.joins import matched, unmatched
+from settleflow.operators.keyjoin import key_join
 from settleflow.operators.merge import link_ids, merge_cases, merge_update, update_status
 from settleflow.operators.rows import Expression, line_rules, split_lines, split_rejects, with_vars
 from settleflow.schema import cast_to, schema_rules
@@ -113,24 +114,30 @@ def final_load(
 
     1. Merge rows whose keys production has update it. 2. Of the others, entries that cancel out
     within ``net_keys`` are taken away. 3. What is left is inserted. 4. The amount of adjustments
-    of record type 2 changes its sign. 5. The merge table is emptied.
+    of record type 2 changes its sign, if their ``keys`` are among the merge rows: the adjustments of
+    other loads stay as they are. 5. The merge table is emptied.
     """
     # With an order one row per key is taken; without, only rows that do update must be unique.
     updates = merge if order_by else matched(merge, prod, keys)
     updated = merge_update(prod, updates, keys, order_by=order_by)
-    return _inserted(unmatched(merge, prod, keys), updated, adj, net_keys or keys, amount, rt) | {"merge": truncate(merge)}
+    turned = _turned(adj, merge, keys, amount, rt)
+    return _inserted(unmatched(merge, prod, keys), updated, turned, net_keys or keys, amount) | {"merge": truncate(merge)}
+
+
+def _turned(adj: DataFrame, loaded: DataFrame, keys: Sequence[str], amount: str, rt: str) -> DataFrame:
+    """Adjustments with the sign of type 2 turned where their keys are being loaded."""
+    names = [f"_k{i}" for i in range(len(keys))]
+    now = loaded.select(*[F.col(k).alias(n) for k, n in zip(keys, names)]).distinct().withColumn("_now", F.lit(True))
+    turned = F.when(F.col("_now"), settlement.rt2_negate(F.col(rt), F.col(amount))).otherwise(F.col(amount))
+    return key_join(adj, now, keys, names, "left").withColumn(amount, turned).select(*adj.columns)
 
 
 def _inserted(
-    new: DataFrame, prod: DataFrame, adj: DataFrame, net_keys: Sequence[str], amount: str, rt: str
+    new: DataFrame, prod: DataFrame, adj: DataFrame, net_keys: Sequence[str], amount: str
 ) -> dict[str, DataFrame]:
-    """Steps 2 to 4: net the new rows, insert the rest, turn the sign of adjustments."""
+    """Steps 2 and 3: net the new rows and insert the rest."""
     kept, netted = net_zero(new, net_keys, amount)
-    return {
-        "prod": prod.unionByName(kept.select(*prod.columns)),
-        "netted": netted,
-        "adj": adj.withColumn(amount, settlement.rt2_negate(F.col(rt), F.col(amount))),
-    }
+    return {"prod": prod.unionByName(kept.select(*prod.columns)), "netted": netted, "adj": adj}
 
 
 def post_sync(
@@ -167,7 +174,8 @@ def post_sync(
     linked = link_ids(templates, settled, list(spec.template_keys), spec.id_col, spec.order_by)
     # The merge table holds the rows production lacks, so its load has nothing left to update.
     third = unmatched(settled, prod, keys)
-    loaded = _inserted(third, updated, adj, spec.net_keys or keys, spec.amount, spec.rt)
+    turned = _turned(adj, third, keys, spec.amount, spec.rt)
+    loaded = _inserted(third, updated, turned, spec.net_keys or keys, spec.amount)
     return {
         "duplicates": duplicates,
         "staging": settled,

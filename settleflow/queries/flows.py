@@ -413,12 +413,16 @@ def _(t: Tables):
     return rename(rows, {"o_orderkey": "id", "o_custkey": "customer"})
 
 
-@query("prj_12_buffer", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
+@query(
+    "prj_12_buffer",
+    """SELECT o_orderstatus AS value, count(*) AS n FROM orders GROUP BY 1
+       UNION ALL SELECT o_orderpriority, count(*) FROM orders GROUP BY 1""",
+)
 def _(t: Tables):
-    kept = buffer(t.orders.select("o_orderstatus"))
-    out = kept.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
-    kept.unpersist()
-    return out
+    # Two outputs read the buffer; it is freed with the session, as they are evaluated later.
+    kept = buffer(t.orders.select("o_orderstatus", "o_orderpriority"))
+    counts = [kept.groupBy(C(c).alias("value")).agg(F.count(F.lit(1)).alias("n")) for c in kept.columns]
+    return counts[0].unionByName(counts[1])
 
 
 _FREE_SQL = """SELECT c_nationkey, count(*) AS n, round(sum(c_acctbal), 2) AS total FROM {flow}
@@ -535,14 +539,19 @@ def _(t: Tables):
     return merge_upsert(target, source, ["k"])
 
 
-@query("snk_04_needs_keys", "SELECT r_regionkey, 'a keyed write needs key columns' AS outcome FROM region")
+@query(
+    "snk_04_needs_keys",
+    "SELECT c_custkey AS k, CASE WHEN c_nationkey < 5 THEN c_name || '*' ELSE c_name END AS name FROM customer",
+)
 def _(t: Tables):
+    target = t.customer.selectExpr("c_custkey AS k", "c_name AS name")
+    # Rows whose key is NULL are no update; a write without keys is refused and leaves the table alone.
+    source = t.customer.selectExpr("CASE WHEN c_nationkey < 5 THEN c_custkey END AS k", "c_name || '*' AS name")
     try:
-        merge_upsert(t.region, t.region, [])
-        outcome = "written"
-    except ValueError as error:
-        outcome = str(error)
-    return t.region.select("r_regionkey", F.lit(outcome).alias("outcome"))
+        target = merge_update(target, source, [])
+    except ValueError:
+        target = merge_update(target, source, ["k"])
+    return target
 
 
 @query("pip_04_update_status", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' AND o_totalprice > 100000 THEN 'S' ELSE o_orderstatus END AS o_orderstatus FROM orders")
@@ -601,7 +610,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     def check_digit(names: pd.Series) -> pd.Series:
-        return names.str[-9:].map(lambda digits: sum(map(int, digits)) % 10)
+        return sum(names.str[i].astype(int) for i in range(-9, 0)) % 10
 
     register_routine(t.spark, "check_digit", check_digit, T.IntegerType())
     return map_rows(t.customer, {"c_custkey": None, "digit": "check_digit(c_name)"})

@@ -207,7 +207,7 @@ _STAMP = "2024-03-05 06:07:08"
 _AT = lambda: F.lit(_STAMP).cast("timestamp_ntz")
 _over("dat_01_format_date", "events", "event_id", lambda: dt.format_date("dd/MM/yyyy HH:mm:ss", C("ts")), "strftime(ts, '%d/%m/%Y %H:%M:%S')")
 _over("dat_02_get_date", "nation", "n_nationkey", lambda: dt.get_date("yyyy-MM-dd", _AT()), "strftime(TIMESTAMP '2024-03-05 06:07:08', '%Y-%m-%d')")
-_over("dat_03_now", "nation", "n_nationkey", lambda: F.abs(F.timestamp_diff("SECOND", dt.now(), F.current_timestamp())) < 1, "TRUE")
+_over("dat_03_now", "events", "event_id", lambda: C("ts").cast("timestamp") < dt.now(), "ts < now()::TIMESTAMP")
 _over(
     "dat_04_parse_date",
     "orders",

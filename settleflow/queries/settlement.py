@@ -239,6 +239,20 @@ def _(t: Tables):
     return _loaded(t)["adj"]
 
 
+@query(
+    "pip_08_final_load_again",
+    """SELECT o_orderkey AS k, CASE WHEN o_orderstatus = 'F' THEN '2' ELSE '1' END AS rt,
+         CASE WHEN o_orderstatus = 'F' THEN -o_totalprice ELSE o_totalprice END AS amount FROM orders""",
+)
+def _(t: Tables):
+    # Two loads, of the even and of the odd orders: each adjustment is turned once.
+    orders = t.orders.selectExpr("o_orderkey AS k", "o_custkey AS cust", "o_totalprice AS amount", "o_orderstatus AS status")
+    adj = orders.select("k", F.when(C("status") == "F", "2").otherwise("1").alias("rt"), "amount")
+    prod, rows = orders.drop("status").filter("k < 0"), orders.drop("status")
+    first = final_load(rows.filter("k % 2 = 0"), prod, adj, ["k"], "amount")
+    return final_load(rows.filter("k % 2 = 1"), first["prod"], first["adj"], ["k"], "amount")["adj"]
+
+
 # --- post job --------------------------------------------------------------------------------
 
 

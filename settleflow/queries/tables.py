@@ -130,7 +130,11 @@ def _(t: Tables):
     return read_query(t.spark, sql, {"status": "F"}, orders=t.orders)
 
 
-@query("src_07_fixed_rows", "SELECT CAST(NULL AS VARCHAR) AS note, 'ST' AS kind, CAST(5 AS BIGINT) AS amount FROM customer")
+@query(
+    "src_07_fixed_rows",
+    """SELECT c_name AS note, c_mktsegment AS kind, c_custkey AS amount FROM customer
+       UNION ALL SELECT CAST(NULL AS VARCHAR), 'ST', 5 FROM range(2)""",
+)
 def _(t: Tables):
     schema = schema_of(
         [
@@ -139,7 +143,8 @@ def _(t: Tables):
             {"name": "amount", "type": "id_Long"},
         ]
     )
-    return fixed_rows(t.spark, schema, {"amount": 5}, n=t.customer.count())
+    rows = t.customer.selectExpr("c_name AS note", "c_mktsegment AS kind", "c_custkey AS amount")
+    return rows.unionByName(fixed_rows(t.spark, schema, {"amount": 5}, n=2))
 
 
 @query("src_08_list_files", "SELECT DISTINCT 'o_orderstatus=' || o_orderstatus AS dir, TRUE AS filled FROM orders")
