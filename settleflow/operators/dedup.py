@@ -93,7 +93,12 @@ def dup_rows(
     # rows - first rows, as bags: whole rows are the shuffle key, equal rows are counted map-side.
     first = ranked(df, keys, order_by, 1).select(*df.columns)
     signed = df.withColumn("_n", F.lit(1)).union(first.withColumn("_n", F.lit(-1)))
-    rest = signed.groupBy(*df.columns).agg(F.sum("_n").alias("_n")).filter(F.col("_n") > 0)
+    # Grouping turns -0.0 into 0.0: the sign of a zero is a key of its own and is put back.
+    inexact = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    minus = {c: f"_minus{i}" for i, c in enumerate(inexact)}
+    signed = signed.withColumns({m: F.when(F.col(c) == 0, F.col(c).cast("string") == "-0.0").otherwise(False) for c, m in minus.items()})
+    rest = signed.groupBy(*df.columns, *minus.values()).agg(F.sum("_n").alias("_n")).filter(F.col("_n") > 0)
+    rest = rest.withColumns({c: F.when(F.col(m), F.lit(-0.0).cast(df.schema[c].dataType)).otherwise(F.col(c)) for c, m in minus.items()})
     return repeat_rows(rest, "_n").select(*cols)
 
 

@@ -51,6 +51,11 @@ def test_uniq_and_dup_cover_the_input(skewed):
     assert bag(first.unionByName(later)) == bag(skewed)
 
 
+def test_duplicates_keep_the_sign_of_zero(spark):
+    rows = spark.createDataFrame([(1, 1.0, -0.0), (1, 2.0, -0.0), (1, 3.0, 0.0), (1, 3.0, -0.0), (1, 4.0, None)], "k int, o double, v double")
+    assert sorted(repr(r["v"]) for r in dup_rows(rows, ["k"], ["o"]).collect()) == ["-0.0", "-0.0", "0.0", "None"]
+
+
 def test_first_row_is_the_least(skewed):
     least = skewed.groupBy("k").agg(F.min(F.struct("o", "v")).alias("m")).select("k", "m.*")
     assert bag(uniq_rows(skewed, ["k"], ["o"])) == bag(least)
