@@ -101,7 +101,7 @@ def extract_fields(
     col: str = "line",
     sep: str = ",",
     trim: bool = True,
-    on_error: str = "null",
+    on_error: str = "fail",
     thousands: str | None = None,
     decimal: str | None = None,
     keep: Sequence[str] = (),

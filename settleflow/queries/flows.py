@@ -382,7 +382,7 @@ _PIECES = """(SELECT k, list_transform(string_split(line, '|'), lambda x: trim(x
         FROM {_PIECES}""",
 )
 def _(t: Tables):
-    out = extract_fields(lines(t), ORDER_SCHEMA, sep="|", keep=["k"])
+    out = extract_fields(lines(t), ORDER_SCHEMA, sep="|", keep=["k"], on_error="null")
     return out.withColumn("o_orderdate", C("o_orderdate").cast("string"))
 
 

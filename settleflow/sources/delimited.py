@@ -97,7 +97,7 @@ def read_delimited(
     limit: int | None = None,
     random_rows: int | None = None,
     seed: int = 0,
-    on_error: str = "null",
+    on_error: str | None = None,
     corrupt: str | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
@@ -106,11 +106,12 @@ def read_delimited(
     A quote inside quotes is doubled unless another ``escape`` is named. ``multi_line`` reads line breaks inside
     quotes as part of the value; a file is then one task, so split large ones when writing them.
 
-    ``on_error="fail"`` ends the job at a bad row. Otherwise a bad field is NULL, and ``corrupt``
+    A bad row ends the job, unless ``corrupt`` or ``on_error="null"`` asks for it: then a bad field is NULL, and ``corrupt``
     names a column that holds the whole text of a row with a wrong field count or a bad field.
     ``limit`` reads that many rows, ``random_rows`` a random choice of that many. Compressed files
     are unpacked by their suffix.
     """
+    on_error = on_error or ("null" if corrupt else "fail")
     if on_error not in ("null", "fail"):
         raise ValueError("on_error is 'null' or 'fail'")
     own_numbers = bool(thousands or (decimal and decimal != "."))
