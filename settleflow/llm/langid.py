@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from settleflow.llm.tables import filled, in_fold
+from settleflow.llm.tables import in_fold, texts_of
 from settleflow.llm.words import _LOWER, Texts, pieces
 
 #: Bytes of a window; a text is cut into windows side by side, each read with the first bytes of the next
@@ -36,19 +36,22 @@ class Network(NamedTuple):
     names: list[str]
 
 
-def windows(texts: Texts, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Byte classes of all windows (one row each, 0 is padding) and the text of every window."""
+def window_starts(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and text of every window."""
     size = np.diff(texts.offsets)
     per = -(-size // WINDOW)
     row = np.repeat(np.arange(len(size)), per)
-    if not len(row):
-        return np.zeros((0, WINDOW + EXTRA), classes.dtype), row
     first = np.concatenate([[0], np.cumsum(per)])[:-1]
-    begin = texts.offsets[:-1][row] + (np.arange(len(row)) - first[row]) * WINDOW
+    return texts.offsets[:-1][row] + (np.arange(len(row)) - first[row]) * WINDOW, row
+
+
+def windows(texts: Texts, codes: np.ndarray, begin: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Byte classes of the windows, one row each; 0 is padding."""
+    if not len(begin):
+        return np.zeros((0, WINDOW + EXTRA), codes.dtype)
     at = begin[:, None] + np.arange(WINDOW + EXTRA)
     inside = at < texts.offsets[1:][row][:, None]
-    codes = classes[_LOWER[texts.data]]
-    return np.where(inside, codes[np.minimum(at, len(codes) - 1)], 0), row
+    return np.where(inside, codes[np.minimum(at, len(codes) - 1)], 0)
 
 
 def responses(net: Network, x: np.ndarray) -> list[np.ndarray]:
@@ -108,7 +111,8 @@ def train(samples: list[tuple[str, str]], epochs: int = 8, rate: float = 0.02, s
     classes[np.flatnonzero(seen)] = np.arange(2, 2 + np.count_nonzero(seen))
     xs, ys = [], []
     for texts in pieces(column):
-        x, row = windows(texts, classes)
+        begin, row = window_starts(texts)
+        x = windows(texts, classes[_LOWER[texts.data]], begin, row)
         keep = rng.permutation(len(row))
         rank = np.zeros(len(row), np.int64)
         order = keep[np.argsort(row[keep], kind="stable")]
@@ -172,14 +176,15 @@ def learn(docs: DataFrame, folds: int, fold: int) -> Network | None:
 
     The rows are those with the smallest hash of the id, of texts of at most ``FIT_CHARS`` characters.
     """
-    usable = docs.select(F.col("doc_id").alias("_id"), filled(F.col("text")).alias("_text"), F.col("lang").alias("_lang")).where(
-        F.col("_lang").isNotNull() & ~in_fold(F.col("_id"), folds, fold) & F.char_length("_text").between(1, FIT_CHARS)
-    )
-    names = [row[0] for row in usable.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(64).collect()]
-    samples = []
+    usable = docs.where(
+        F.col("lang").isNotNull() & ~in_fold(F.col("doc_id"), folds, fold) & F.char_length("text").between(1, FIT_CHARS)
+    ).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_label"))
+    names = [row[0] for row in usable.groupBy("_label").count().orderBy(F.desc("count"), "_label").limit(64).collect()]
+    ids = []
     for name in names:
-        rows = usable.where(F.col("_lang") == name).orderBy(F.xxhash64("_id"), "_id", "_text").limit(FIT_ROWS)
-        samples += [(row["_text"], name) for row in rows.select("_text").collect()]
+        ids += usable.where(F.col("_label") == name).orderBy(F.xxhash64("_id"), "_id").limit(FIT_ROWS).collect()
+    chosen = docs.sparkSession.createDataFrame(ids, usable.schema).dropDuplicates(["_id"])
+    samples = [(text, name) for _, text, name in texts_of(docs, chosen) if len(text) <= FIT_CHARS]
     return train(samples)
 
 
@@ -195,10 +200,12 @@ def _has_letter(texts: Texts) -> np.ndarray:
 
 def predict(scorer: Scorer, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     """Index of the language of every text and its probability: mean log probability over all windows."""
-    x, row = windows(texts, scorer.net.classes)
+    begin, row = window_starts(texts)
+    codes = scorer.net.classes[_LOWER[texts.data]]
     total = np.zeros((len(texts.offsets) - 1, len(scorer.net.names)))
-    for at in range(0, len(row), 128):
-        np.add.at(total, row[at : at + 128], scorer.log_probabilities(x[at : at + 128]))
+    for at in range(0, len(row), 128):  # a few windows at a time, however long the text
+        part = slice(at, at + 128)
+        np.add.at(total, row[part], scorer.log_probabilities(windows(texts, codes, begin[part], row[part])))
     counts = np.maximum(np.bincount(row, minlength=len(total)), 1)
     probability = _softmax(total / counts[:, None])
     return probability.argmax(axis=1), probability.max(axis=1)

@@ -16,7 +16,7 @@ from settleflow.llm.words import Texts, hashed, lengths_to_rows, pieces
 #: Terms of a kind (shape runs, words) after hashing, and latent dimensions.
 TERMS, RANK = 2048, 48
 #: Most labelled texts of each class, and the longest of them in characters.
-FIT_ROWS, FIT_CHARS = 2000, 50_000
+FIT_ROWS, FIT_CHARS = 2000, 20_000
 #: Labelled vectors that vote, and the power of the cosine that is a vote's weight.
 NEIGHBOURS, SHARPNESS = 25, 8
 BLOCK = 256
@@ -135,7 +135,7 @@ def score_quality(
     each; other columns are ignored.
     """
     sample = labelled_sample(docs, labels, label, folds, fold, FIT_ROWS, FIT_CHARS)
-    shared = docs.sparkSession.sparkContext.broadcast(fit([(row["_text"], row["_label"]) for row in sample]))
+    shared = docs.sparkSession.sparkContext.broadcast(fit(sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space = shared.value

@@ -43,26 +43,33 @@ def in_fold(row_id: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(row_id.cast("string")) % folds == fold, F.lit(True))
 
 
+def texts_of(docs: DataFrame, ids: DataFrame) -> list:
+    """``_text``, ``_label`` of the documents in ``ids`` (``_id``, ``_label``), a table of at most a few thousand rows.
+
+    The ids are broadcast, so no text is shuffled and only those texts reach the driver. Of rows that
+    repeat an id the least text counts.
+    """
+    texts = docs.select(F.col("doc_id").alias("_of"), filled(F.col("text")).alias("_text"))
+    found = texts.join(F.broadcast(ids), F.col("_of") == F.col("_id")).groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
+    return sorted(((row["_id"], row["_text"], row["_label"]) for row in found.collect()), key=lambda row: row[0])
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, rows: int, longest: int
-) -> list:
-    """At most ``rows`` labelled texts of each class, none in the held-out fold.
+) -> list[tuple[str, int]]:
+    """Texts and labels of at most ``rows`` documents of each class, none in the held-out fold.
 
     The bounds are what lets a model be fitted on the driver: texts longer than ``longest``
-    characters are not learned from, and the rows are those with the smallest hash of the id.
-    Conflicting labels of one id count as 1.
+    characters are not learned from, and the rows are those with the smallest hash of the id. Only ids and
+    lengths meet the labels. Conflicting labels of one id count as 1.
     """
     known = (
         labels.where(F.col(label).isin(0, 1) & ~in_fold(F.col("doc_id"), folds, fold))
         .groupBy(F.col("doc_id").alias("_id"))
         .agg(F.max(label).cast("int").alias("_label"))
     )
-    texts = docs.select(F.col("doc_id").alias("_of"), filled(F.col("text")).alias("_text")).where(
-        F.char_length("_text").between(1, longest)
-    )
-    joined = texts.join(known, F.col("_of") == F.col("_id"))
-    order = [F.xxhash64("_id"), F.col("_id"), F.col("_text")]
-    found = []
-    for value in (0, 1):
-        found += joined.where(F.col("_label") == value).orderBy(*order).select("_text", "_label").limit(rows).collect()
-    return found
+    usable = docs.where(F.char_length("text").between(1, longest)).select(F.col("doc_id").alias("_of"))
+    joined = known.join(usable, F.col("_of") == F.col("_id"), "left_semi")
+    ids = [joined.where(F.col("_label") == value).orderBy(F.xxhash64("_id"), "_id").limit(rows).collect() for value in (0, 1)]
+    chosen = docs.sparkSession.createDataFrame(ids[0] + ids[1], joined.schema)
+    return [(text, label) for _, text, label in texts_of(docs, chosen) if len(text) <= longest]

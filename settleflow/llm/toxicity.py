@@ -19,7 +19,7 @@ WORD, CHAR, STATE = 6, 4, 8
 #: Most words known, and buckets of character trigrams.
 VOCABULARY, GRAMS = 20_000, 1 << 13
 #: Most labelled texts of each class, and the longest of them in characters.
-FIT_ROWS, FIT_CHARS = 1000, 30_000
+FIT_ROWS, FIT_CHARS = 1000, 10_000
 _GROUP = 2048
 
 # Letters and digits in lower case, bytes of other letters; everything else parts words.
@@ -299,7 +299,7 @@ def score_toxicity(
     out. Repeated rows give a row each; other columns are ignored.
     """
     sample = labelled_sample(docs, labels, label, folds, fold, FIT_ROWS, FIT_CHARS)
-    shared = docs.sparkSession.sparkContext.broadcast(train([(row["_text"], row["_label"]) for row in sample]))
+    shared = docs.sparkSession.sparkContext.broadcast(train(sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value

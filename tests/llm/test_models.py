@@ -119,7 +119,8 @@ def test_windows_cover_every_word_and_byte():
         seen = set(index[row == i].ravel().tolist()) - {-1}
         assert seen == set(range(bounds[i], bounds[i + 1]))
     (texts,) = pieces(pa.array(["", "ab", "c" * 300]))
-    x, row = langid.windows(texts, np.arange(256, dtype=np.int16))
+    begin, row = langid.window_starts(texts)
+    x = langid.windows(texts, np.arange(256, dtype=np.int16)[texts.data], begin, row)
     assert [int((x[row == i][:, : langid.WINDOW] > 0).sum()) for i in range(3)] == [0, 2, 300]
 
 
@@ -127,7 +128,8 @@ def test_prepared_filters_give_the_same_responses():
     samples = [("der die das und ist", "de"), ("the and of to in", "en")] * 6
     net = langid.train(samples, epochs=2)
     (texts,) = pieces(pa.array(["the und of das " * 30]))
-    x, _ = langid.windows(texts, net.classes)
+    begin, row = langid.window_starts(texts)
+    x = langid.windows(texts, net.classes[texts.data], begin, row)
     pooled = np.concatenate([np.maximum(r.max(axis=1), 0) for r in langid.responses(net, x)], axis=1)
     expected = np.log(langid._softmax(pooled @ net.out + net.out_bias))
     assert np.allclose(langid.Scorer(net).log_probabilities(x), expected, atol=1e-4)
