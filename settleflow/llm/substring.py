@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from settleflow.llm.tables import written
-from settleflow.llm.words import PIECE, Runs, Texts, hashed, lists, pieces
+from settleflow.llm.words import PIECE, Runs, Texts, hashed, lists, mixed, pieces
 
 #: Shortest windows that are worth a level of their own.
 LEAST = 16
@@ -60,7 +60,8 @@ def anchors(words: np.ndarray, bounds: np.ndarray, short: int, long: int) -> tup
     is_anchor = np.zeros(len(words), bool)
     for back in range(min(span, len(words))):
         is_anchor[back:] |= of_window[: len(words) - back] == hashes[back:]
-    return hashes[is_anchor], of_window, has
+    # Least hashes are small numbers; mixed once more they spread evenly over the ranges of values.
+    return mixed(hashes[is_anchor]), mixed(of_window), has
 
 
 def blobs(hashes: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
