@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from settleflow.llm.graph import components, contracted, downward
+from settleflow.llm.graph import components
 from settleflow.llm.tables import written
 from settleflow.llm.words import Runs, Texts, hashed, lists, mixed, pieces, shingles
 
@@ -17,6 +17,8 @@ SHINGLE = 5
 #: Permutations, each giving its minimum and its maximum, and rows of a band. A pair with a similarity of
 #: 0.75 shares none of the 32 bands with a probability of (1 - 0.75**4)**32, about 5 in a million.
 PERMUTATIONS, ROWS = 64, 4
+#: Followers in a shingle that a set is tried on before the rest is compared in full.
+TRIES = 24
 
 
 def permutations(count: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
@@ -154,32 +156,70 @@ def _prefix_rows(members: DataFrame, texts: DataFrame, percent: int) -> DataFram
     )
 
 
-def _rest(members: DataFrame, texts: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """Links between different components among ``members`` (``_id``, ``_comp``), exactly.
-
-    Prefix filtering: only sets that share one of their rarest shingles can be similar enough, which a common
-    passage is not. For every such shingle, the members outside its most frequent component meet all
-    its members of other components, if what follows the shingle in both sets (ranked alike) could be overlap enough: of
-    two similar sets that holds at the first shingle they share.
-    """
-    rows = written(_prefix_rows(members, texts, percent), "near-prefix")
+def _shared(rows: DataFrame) -> DataFrame:
+    """Prefix rows whose shingle several components have, with the most frequent of these in ``_main``."""
     main = written(
         rows.groupBy("_token", "_comp").agg(F.count(F.lit(1)).alias("_c")).groupBy("_token")
         .agg(F.max_by("_comp", F.struct("_c", "_comp")).alias("_main"), F.count(F.lit(1)).alias("_comps"))
         .where("_comps > 1").select(F.col("_token").alias("_t"), "_main"),
         "near-main", narrow=True,
     )
-    shared = written(rows.join(main, F.col("_token") == F.col("_t")).drop("_t"), "near-shared")
-    some = shared.where("_comp <> _main").select("_token", *[F.col(c).alias(f"{c}1") for c in ("_id", "_comp", "_n", "_at")])
-    most = F.least(F.col("_n") - F.col("_at"), F.col("_n1") - F.col("_at1"))
-    close = ((100 + percent) * most >= percent * (F.col("_n") + F.col("_n1"))) & (F.col("_comp") != F.col("_comp1"))
-    pairs = (
-        some.join(shared, "_token").where(close)
-        .select(F.least("_id", "_id1").alias("u"), F.greatest("_id", "_id1").alias("v"))
-        .distinct()
-        .join(tested, ["u", "v"], "left_anti")
-    )
-    return _confirmed(written(pairs, "near-rest", narrow=True), texts, percent)
+    return written(rows.join(main, F.col("_token") == F.col("_t")).drop("_t"), "near-shared")
+
+
+def _close(one: Column, two: Column, percent: int) -> Column:
+    """Different components, and sets that could overlap enough after a shingle at ``_at`` of both (ranked alike)."""
+    most = F.least(one["_n"] - one["_at"], two["_n"] - two["_at"])
+    return ((100 + percent) * most >= percent * (one["_n"] + two["_n"])) & (one["_comp"] != two["_comp"])
+
+
+def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
+    pairs = pairs.select(F.least("_one._id", "_two._id").alias("u"), F.greatest("_one._id", "_two._id").alias("v")).distinct()
+    return written(pairs.join(tested, ["u", "v"], "left_anti"), "near-rest", narrow=True)
+
+
+def _neighbours(shared: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each row with the ``TRIES`` rows that follow it in its shingle, ordered by a hash of both."""
+    order = Window.partitionBy("_token").orderBy(F.xxhash64("_id", "_token"), "_id")
+    row = F.struct("_id", "_comp", "_n", "_at")
+    ahead = F.array(*[F.lead(row, i).over(order) for i in range(1, TRIES + 1)])
+    rows = shared.select(row.alias("_one"), ahead.alias("_ahead"))
+    near = F.filter("_ahead", lambda x: x.isNotNull() & _close(F.col("_one"), x, percent))
+    return _untested(rows.select("_one", F.explode(near).alias("_two")), tested)
+
+
+def _crossing(shared: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+    """Pairs of rows outside the most frequent component of their shingle with all rows of other components."""
+    row = F.struct("_id", "_comp", "_n", "_at")
+    some = shared.where("_comp <> _main").select("_token", row.alias("_one"))
+    pairs = some.join(shared.select("_token", row.alias("_two")), "_token")
+    return _untested(pairs.where(_close(F.col("_one"), F.col("_two"), percent)), tested)
+
+
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links."""
+    stars = found.select(F.col("id").alias("u"), F.col("component").alias("v"))
+    return written(components(stars.unionByName(links)), "near-found", narrow=True)
+
+
+def _finished(found: DataFrame, members: DataFrame, texts: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+    """Components after all links between ``members`` (``_id``, ``_comp``) of different ones, found exactly.
+
+    Prefix filtering: only sets that share one of their rarest shingles can be similar enough, which a common
+    passage is not. First each member tries the few that follow it in a shuffled order of every such shingle, which
+    joins large groups of near copies by a number of pairs in proportion to the members. What is left apart is
+    compared in full: the members outside the most frequent component of a shingle meet all its members of others.
+    """
+    rows = written(_prefix_rows(members, texts, percent), "near-prefix")
+    shared = _shared(rows)
+    links = _confirmed(_neighbours(shared, tested, percent), texts, percent)
+    if not links.isEmpty():
+        found = _joined(found, links)
+        now = found.withColumnsRenamed({"id": "_of", "component": "_now"})
+        rows = rows.join(now, F.col("_id") == F.col("_of"), "left").withColumn("_comp", F.coalesce("_now", "_comp"))
+        shared = _shared(written(rows.select("_token", "_id", "_comp", "_n", "_at"), "near-prefix"))
+    more = _confirmed(_crossing(shared, tested, percent), texts, percent)
+    return found if more.isEmpty() else _joined(found, more)
 
 
 def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
@@ -217,18 +257,15 @@ def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", percent
     ends = written(pairs.select(F.explode(F.array("u", "v")).alias("_end")).distinct(), "near-ends", narrow=True)
     needed = written(texts.join(ends, F.col("_id") == F.col("_end"), "left_semi"), "near-texts")
     links = _confirmed(pairs, needed, percent)
-    # One contraction tells most of what is connected; that is all the next step needs.
-    edges = contracted(written(downward(links).distinct(), "near-edges", narrow=True))
-    label = edges.groupBy(F.col("u").alias("_u")).agg(F.min("v").alias("_v"))
-    known = members.where("_size > 2").join(label, F.col("_id") == F.col("_u"), "left").select(
-        "_band", "_id", F.coalesce("_v", "_id").alias("_comp")
+    found = written(components(links), "near-found", narrow=True)
+    known = members.where("_size > 2").join(found, F.col("_id") == F.col("id"), "left").select(
+        "_band", "_id", F.coalesce("component", "_id").alias("_comp")
     )
     split = known.groupBy("_band").agg(F.min("_comp").alias("_low"), F.max("_comp").alias("_high")).where("_low <> _high")
     open_bands = written(split.select(F.col("_band").alias("_b")), "near-open", narrow=True)
     if not open_bands.isEmpty():
         left = written(known.join(open_bands, F.col("_band") == F.col("_b")).select("_id", "_comp").distinct(), "near-left", narrow=True)
-        edges = edges.unionByName(downward(_rest(left, needed, pairs, percent)))
-    found = written(components(edges), "near-found", narrow=True)
+        found = _finished(found, left, needed, pairs, percent)
     of_key = written(
         nodes.join(found, F.col("_rep") == F.col("id"), "left").select(
             F.col("_key").alias("_k"), F.coalesce("component", "_rep").alias("_component")
