@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from settleflow.llm.tables import in_fold, texts_of
-from settleflow.llm.words import _LOWER, Texts, pieces
+from settleflow.llm.tables import filled, in_fold
+from settleflow.llm.words import _LOWER, Texts, mixed, pieces
 
 #: Bytes of a window; a text is cut into windows side by side, each read with the first bytes of the next
 #: one so that no run of bytes is lost, the last one padded.
@@ -19,9 +19,9 @@ WINDOW = 128
 WIDTHS = (2, 3, 4)
 EXTRA = max(WIDTHS) - 1
 FILTERS = 10
-#: Most texts learned from for each language, and the longest of them in characters.
-FIT_ROWS, FIT_CHARS = 600, 20_000
-#: Windows of one text that are learned from.
+#: Most texts learned from for each language and, shared evenly, for all of them; each language may have LEAST_ROWS.
+FIT_ROWS, TOTAL_ROWS, LEAST_ROWS = 600, 38_400, 8
+#: Windows of one text that are learned from, whatever its length.
 FIT_WINDOWS = 6
 
 
@@ -96,30 +96,40 @@ class Scorer:
         return np.log(_softmax(hidden @ self.out + self.net.out_bias) + 1e-9)
 
 
+def excerpts(texts: Texts) -> list[list[bytes]]:
+    """The windows of every text that are learned from: one of each of ``FIT_WINDOWS`` equal parts, chosen by hash."""
+    size = np.diff(texts.offsets)
+    per = -(-size // WINDOW)
+    found = []
+    for begin, end, count in zip(texts.offsets[:-1].tolist(), texts.offsets[1:].tolist(), per.tolist()):
+        parts = min(count, FIT_WINDOWS)
+        edge = np.arange(parts + 1) * count // max(parts, 1)
+        pick = mixed(np.arange(parts, dtype=np.uint64) + np.uint64(FIT_WINDOWS * (end - begin))) % np.diff(edge).astype(np.uint64)
+        starts = begin + (edge[:-1] + pick.astype(np.int64)) * WINDOW
+        found.append([texts.data[at : min(at + WINDOW + EXTRA, end)].tobytes() for at in starts])
+    return found
+
+
 def train(samples: list[tuple[str, str]], epochs: int = 8, rate: float = 0.02, seed: int = 7) -> Network | None:
-    """Fit the network on (text, language) pairs by Adam; None without samples."""
+    """Fit the network on (text, language) pairs; None without samples."""
+    column = pa.array([text for text, _ in samples], pa.string())
+    found = [windows for texts in pieces(column) for windows in excerpts(texts)]
+    return fit([(windows, name) for windows, (_, name) in zip(found, samples)], epochs, rate, seed)
+
+
+def fit(samples: list[tuple[list[bytes], str]], epochs: int = 8, rate: float = 0.02, seed: int = 7) -> Network | None:
+    """Fit the network on the windows of texts and their languages by Adam; None without samples."""
     names = sorted({name for _, name in samples})
     if not names:
         return None
     rng = np.random.default_rng(seed)
-    column = pa.array([text for text, _ in samples])
-    truth = np.array([names.index(name) for _, name in samples])
-    seen = np.zeros(256, np.int64)
-    for texts in pieces(column):
-        seen += np.bincount(_LOWER[texts.data], minlength=256)
+    number = {name: i for i, name in enumerate(names)}
+    y = np.array([number[name] for found, name in samples for _ in found])
+    (texts,) = pieces(pa.array([window for found, _ in samples for window in found], pa.binary()), 1 << 40)
+    seen = np.bincount(_LOWER[texts.data], minlength=256)
     classes = np.ones(256, np.int16)  # 0 is padding, 1 a byte not learned from
     classes[np.flatnonzero(seen)] = np.arange(2, 2 + np.count_nonzero(seen))
-    xs, ys = [], []
-    for texts in pieces(column):
-        begin, row = window_starts(texts)
-        x = windows(texts, classes[_LOWER[texts.data]], begin, row)
-        keep = rng.permutation(len(row))
-        rank = np.zeros(len(row), np.int64)
-        order = keep[np.argsort(row[keep], kind="stable")]
-        rank[order] = np.arange(len(row)) - np.searchsorted(row[order], row[order])
-        xs.append(x[rank < FIT_WINDOWS])
-        ys.append(truth[texts.first + row[rank < FIT_WINDOWS]])
-    x, y = np.concatenate(xs), np.concatenate(ys)
+    x = windows(texts, classes[_LOWER[texts.data]], texts.offsets[:-1], np.arange(len(y)))
     size = int(classes.max()) + 1
     net = Network(
         classes,
@@ -171,21 +181,56 @@ def _gradients(net: Network, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     return [*filters, *bias, hidden.T @ error, error.sum(axis=0)]
 
 
+def _chosen(usable: DataFrame) -> list[tuple]:
+    """``_id`` and ``_label`` of the rows to learn from, of every label: those with the smallest hashes of the id.
+
+    Hashes below a bound that leaves each label about twice its share of rows come to the driver and are ranked
+    there, all labels at once. The row with a label's smallest hash is always among them.
+    """
+    place = F.xxhash64("_id")
+    labels = usable.groupBy("_label").agg(F.approx_count_distinct("_id").alias("ids"), F.min(place).alias("least")).collect()
+    share = max(LEAST_ROWS, min(FIT_ROWS, TOTAL_ROWS // max(len(labels), 1)))
+    below = lambda ids: min((1 << 63) - 1, ((2 * share + 32) << 64) // max(ids, 1) - (1 << 63))
+    bounds = usable.sparkSession.createDataFrame(
+        [(row["_label"], max(row["least"], below(row["ids"]))) for row in labels], "_of string, _below long"
+    )
+    near = usable.join(F.broadcast(bounds), (F.col("_label") == F.col("_of")) & (place <= F.col("_below")))
+    rows = near.select("_label", place.alias("_place"), "_id").distinct().collect()
+    taken, found = {}, []
+    for label, _, row_id in sorted(rows):
+        taken[label] = taken.get(label, 0) + 1
+        if taken[label] <= share:
+            found.append((row_id, label))
+    return found
+
+
 def learn(docs: DataFrame, folds: int, fold: int) -> Network | None:
-    """A network from at most ``FIT_ROWS`` texts of each language outside the held-out fold.
+    """A network from texts of every language that has a text outside the held-out fold.
 
-    The rows are those with the smallest hash of the id, of texts of at most ``FIT_CHARS`` characters.
+    A language has at most ``FIT_ROWS`` texts, fewer where the languages together would exceed ``TOTAL_ROWS``
+    but no fewer than ``LEAST_ROWS`` of those there are. The rows are those with the smallest hash of the id. Only the windows
+    learned from reach the driver, so a text may have any length; of rows that repeat an id and a language one counts.
     """
     usable = docs.where(
-        F.col("lang").isNotNull() & ~in_fold(F.col("doc_id"), folds, fold) & F.char_length("text").between(1, FIT_CHARS)
-    ).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_label"))
-    names = [row[0] for row in usable.groupBy("_label").count().orderBy(F.desc("count"), "_label").limit(64).collect()]
-    ids = []
-    for name in names:
-        ids += usable.where(F.col("_label") == name).orderBy(F.xxhash64("_id"), "_id").limit(FIT_ROWS).collect()
-    chosen = docs.sparkSession.createDataFrame(ids, usable.schema).dropDuplicates(["_id"])
-    samples = [(text, name) for _, text, name in texts_of(docs, chosen) if len(text) <= FIT_CHARS]
-    return train(samples)
+        F.col("lang").isNotNull() & ~in_fold(F.col("doc_id"), folds, fold) & (F.char_length("text") > 0)
+    ).select(F.col("doc_id").alias("_id"), F.col("lang").cast("string").alias("_label"))
+    chosen = docs.sparkSession.createDataFrame(_chosen(usable), usable.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in pieces(batch.column(2)):
+                part = batch.slice(texts.first, len(texts.offsets) - 1)
+                found = pa.array(excerpts(texts), pa.list_(pa.binary()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), found], ["_id", "_label", "_windows"])
+
+    texts = docs.where(F.char_length("text") > 0).select(
+        F.col("doc_id").alias("_of"), F.col("lang").cast("string").alias("_lang"), filled(F.col("text")).alias("_text")
+    )
+    near = texts.join(F.broadcast(chosen), (F.col("_of") == F.col("_id")) & (F.col("_lang") == F.col("_label")))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = near.select("_id", "_label", "_text").mapInArrow(run, f"_id {kind}, _label string, _windows array<binary>")
+    rows = found.groupBy("_id", "_label").agg(F.min("_windows").alias("_windows")).collect()
+    return fit([(row["_windows"], row["_label"]) for row in sorted(rows, key=lambda row: (row["_label"], row["_id"]))])
 
 
 def _has_letter(texts: Texts) -> np.ndarray:
@@ -216,12 +261,12 @@ def identify(docs: DataFrame, folds: int = 4, fold: int = 2) -> DataFrame:
 
     A byte convolutional network (filters over 2, 3 and 4 bytes, max pooling, softmax) is trained in numpy on
     texts with a known language outside the held-out fold and applied to every window of every whole
-    text; the log probabilities of the windows are averaged. The model (under 2 MB, whatever the data) is
+    text; the log probabilities of the windows are averaged. The model (under 2 MB and 240 bytes a language) is
     broadcast; scoring is one pass without a shuffle.
 
     A text that is null or has no letter is ``und`` with score 0, as is everything if nothing can be learned.
-    Null languages are not learned from; a null id counts as held out. Up to 64 languages are learned, the most
-    frequent ones. Repeated rows give a row each; other columns are ignored.
+    Null languages are not learned from; a null id counts as held out. Every other language is learned, whatever their number and
+    the length of their texts. Repeated rows give a row each; other columns are ignored.
     """
     net = learn(docs, folds, fold)
     shared = docs.sparkSession.sparkContext.broadcast(net)

@@ -83,6 +83,37 @@ def test_odd_texts_have_a_language(spark, odd):
     assert {r["lang_pred"] for r in nothing.collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    """More than 64 languages, rare ones, one of long texts only, one that shares its ids, one mostly of one repeated id."""
+    word = lambda n: chr(0x4E00 + 7 * n) + chr(0x4E01 + 7 * n)
+    rows = [(100 * n + i, f"{word(n)} " * 20, f"l{n:02}") for n in range(70) for i in range(12 if n < 64 else 4)]
+    rows += [(10_000 + i, "ab cd " * 5_000, "long") for i in range(8)]
+    rows += [(100 + i, "xyz zyx " * 20, "shared") for i in range(12)]
+    repeated = next(i for i in range(20_000, 20_100) if fold(i, 4) != 2)
+    rows += [(repeated, "qq ww " * 20, "again")] * 3000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    net = langid.learn(docs, 4, 2)
+    assert set(net.names) == {lang for i, _, lang in rows if fold(i, 4) != 2}
+    assert len(net.names) > 64 and {"long", "shared", "again"} < set(net.names)
+
+
+def test_rows_per_language_shrink_as_languages_grow(spark, monkeypatch):
+    monkeypatch.setattr(langid, "TOTAL_ROWS", 60)
+    usable = spark.range(4000).selectExpr("id AS _id", "IF(id < 3000, 'a', IF(id < 3010, 'b', 'c')) AS _label")
+    found = langid._chosen(usable)
+    assert sorted(label for _, label in found) == ["a"] * 20 + ["b"] * 10 + ["c"] * 20
+    hashes = {row[0]: row[1] for row in usable.selectExpr("_id", "xxhash64(_id)").collect()}
+    for label, ids in (("a", range(3000)), ("b", range(3000, 3010)), ("c", range(3010, 4000))):
+        assert {i for i, of in found if of == label} == set(sorted(ids, key=hashes.get)[:20])
+
+
+def test_windows_learned_from_are_spread_over_the_text():
+    (texts,) = pieces(pa.array(["a" * 300, "".join(chr(97 + i // 6000) for i in range(36_000)), ""]))
+    short, long, none = langid.excerpts(texts)
+    assert [len(w) for w in short] == [131, 131, 44] and none == []
+    assert [w[:1] for w in long] == [bytes([97 + i]) for i in range(6)]
+
+
 def test_gradients_of_the_recurrent_network():
     rng = np.random.default_rng(0)
     net = toxicity.Network(np.zeros(0, np.uint64), np.zeros((1, toxicity.WORD)), np.zeros((4, toxicity.CHAR)), rng)
