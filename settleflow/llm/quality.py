@@ -15,8 +15,8 @@ from settleflow.llm.words import Texts, hashed, lengths_to_rows, pieces
 
 #: Terms of a kind (shape runs, words) after hashing, and latent dimensions.
 TERMS, RANK = 2048, 48
-#: Most labelled texts of each class, and the longest of them in characters.
-FIT_ROWS, FIT_CHARS = 2000, 20_000
+#: Most labelled texts of each class, and most characters of all of them.
+FIT_ROWS, FIT_CHARS = 2000, 80_000_000
 #: Labelled vectors that vote, and the power of the cosine that is a vote's weight.
 NEIGHBOURS, SHARPNESS = 25, 8
 BLOCK = 256

@@ -43,33 +43,65 @@ def in_fold(row_id: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(row_id.cast("string")) % folds == fold, F.lit(True))
 
 
-def texts_of(docs: DataFrame, ids: DataFrame) -> list:
+#: Windows that stand for a text too long to be learned from whole.
+PARTS = 16
+
+
+def _shortened(text: Column, most: int) -> Column:
+    """Texts of at most ``most`` characters as they are, of longer ones a window of each of ``PARTS`` equal parts.
+
+    Windows lie at places chosen by hash; together they have at most ``most`` characters.
+    """
+    size, wide = max(1, most // PARTS - 1), F.char_length(text).cast("long")
+    windows = []
+    for i in range(PARTS):
+        begin = F.floor(wide * i / PARTS)
+        room = F.greatest(F.floor(wide * (i + 1) / PARTS) - begin - size + 1, F.lit(1).cast("long"))
+        windows.append(text.substr((begin + F.pmod(F.xxhash64(wide, F.lit(i)), room) + 1).cast("int"), F.lit(size)))
+    return F.when(wide <= most, text).otherwise(F.concat_ws("\n", *windows))
+
+
+def _level(sizes: list[int], total: int) -> int:
+    """The largest length to which texts of these sizes can be shortened so that they have ``total`` characters at most."""
+    left = total
+    for i, size in enumerate(sorted(sizes)):
+        if size * (len(sizes) - i) > left:
+            return left // (len(sizes) - i)
+        left -= size
+    return max(sizes, default=0)
+
+
+def texts_of(docs: DataFrame, ids: DataFrame, most: int) -> list:
     """``_text``, ``_label`` of the documents in ``ids`` (``_id``, ``_label``), a table of at most a few thousand rows.
 
-    The ids are broadcast, so no text is shuffled and only those texts reach the driver. Of rows that
-    repeat an id the least text counts.
+    The ids are broadcast, so no text is shuffled before it is shortened to ``most`` characters, and only those texts
+    reach the driver. Of rows that repeat an id the least text counts.
     """
-    texts = docs.select(F.col("doc_id").alias("_of"), filled(F.col("text")).alias("_text"))
-    found = texts.join(F.broadcast(ids), F.col("_of") == F.col("_id")).groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
+    texts = docs.select(F.col("doc_id").alias("_of"), filled(F.col("text")).alias("_whole"))
+    near = texts.join(F.broadcast(ids), F.col("_of") == F.col("_id")).select("_id", "_label", _shortened(F.col("_whole"), most).alias("_text"))
+    found = near.where(F.col("_text") != "").groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
     return sorted(((row["_id"], row["_text"], row["_label"]) for row in found.collect()), key=lambda row: row[0])
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, rows: int, longest: int
+    docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, rows: int, total: int
 ) -> list[tuple[str, int]]:
     """Texts and labels of at most ``rows`` documents of each class, none in the held-out fold.
 
-    The bounds are what lets a model be fitted on the driver: texts longer than ``longest``
-    characters are not learned from, and the rows are those with the smallest hash of the id. Only ids and
-    lengths meet the labels. Conflicting labels of one id count as 1.
+    The bounds are what lets a model be fitted on the driver: the rows are those with the smallest hash of the id,
+    and the texts have ``total`` characters at most. Only if whole texts exceed that, the longest are learned from in windows spread
+    over the whole text. Only ids and lengths meet the labels. Conflicting labels of one id count as 1.
     """
     known = (
         labels.where(F.col(label).isin(0, 1) & ~in_fold(F.col("doc_id"), folds, fold))
         .groupBy(F.col("doc_id").alias("_id"))
         .agg(F.max(label).cast("int").alias("_label"))
     )
-    usable = docs.where(F.char_length("text").between(1, longest)).select(F.col("doc_id").alias("_of"))
-    joined = known.join(usable, F.col("_of") == F.col("_id"), "left_semi")
-    ids = [joined.where(F.col("_label") == value).orderBy(F.xxhash64("_id"), "_id").limit(rows).collect() for value in (0, 1)]
-    chosen = docs.sparkSession.createDataFrame(ids[0] + ids[1], joined.schema)
-    return [(text, label) for _, text, label in texts_of(docs, chosen) if len(text) <= longest]
+    size = F.char_length("text")
+    usable = docs.where(size > 0).groupBy(F.col("doc_id").alias("_of")).agg(F.max(size).alias("_size"))
+    joined = known.join(usable, F.col("_of") == F.col("_id")).select("_id", "_label", "_size")
+    found = [joined.where(F.col("_label") == value).orderBy(F.xxhash64("_id"), "_id").limit(rows).collect() for value in (0, 1)]
+    ids = [(row["_id"], row["_label"]) for row in found[0] + found[1]]
+    chosen = docs.sparkSession.createDataFrame(ids, joined.select("_id", "_label").schema)
+    most = _level([row["_size"] for row in found[0] + found[1]], total)
+    return [(text, label) for _, text, label in texts_of(docs, chosen, most)]

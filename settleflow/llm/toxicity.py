@@ -18,8 +18,8 @@ WINDOW, STRIDE = 32, 20
 WORD, CHAR, STATE = 6, 4, 8
 #: Most words known, and buckets of character trigrams.
 VOCABULARY, GRAMS = 20_000, 1 << 13
-#: Most labelled texts of each class, and the longest of them in characters.
-FIT_ROWS, FIT_CHARS = 1000, 10_000
+#: Most labelled texts of each class, and most characters of all of them.
+FIT_ROWS, FIT_CHARS = 1000, 20_000_000
 _GROUP = 2048
 
 # Letters and digits in lower case, bytes of other letters; everything else parts words.

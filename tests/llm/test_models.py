@@ -6,6 +6,7 @@ import pytest
 from settleflow.llm import langid, quality, toxicity
 from settleflow.llm.langid import identify
 from settleflow.llm.quality import score_quality
+from settleflow.llm.tables import labelled_sample
 from settleflow.llm.toxicity import score_toxicity
 from settleflow.llm.words import pieces
 
@@ -73,6 +74,31 @@ def test_odd_texts_are_scored(spark, odd, scored):
         assert len({r["score"] for r in scored(docs, few).collect()}) == 1
 
 
+@pytest.mark.parametrize("scored", [score_toxicity, score_quality])
+def test_a_class_of_long_texts_only_is_learned(spark, scored):
+    rows = [(i, "you utter fool " * 4000 if i % 2 else "a kind and gentle word " * 4) for i in range(40)]
+    docs = spark.createDataFrame([*rows, (100, "utter fool you " * 5)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    of = {r["doc_id"]: r["score"] for r in scored(docs, labels).collect()}
+    assert of[1] > 0.5 and of[100] > 0.5 > of[2]
+
+
+def test_sample_is_bounded_by_all_characters_not_by_length(spark):
+    long = "".join(f"{i:05} " for i in range(10_000))
+    docs = spark.createDataFrame([(1, long), (3, "ab " * 100), (4, "cd"), (5, long), (6, ""), (7, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 8)], "doc_id long, toxic int")
+    held = [i for i in (1, 3, 4, 5) if fold(i, 4) == 2]
+    whole = labelled_sample(docs, labels, "toxic", 4, 2, 100, 200_000)
+    assert sorted(map(len, (t for t, _ in whole))) == sorted(n for i, n in ((1, 60_000), (3, 300), (4, 2), (5, 60_000)) if i not in held)
+    some = labelled_sample(docs, labels, "toxic", 4, 2, 100, 12_000)
+    assert len(some) == len(whole) and sum(len(t) for t, _ in some) <= 12_000
+    for text, _ in some:
+        if len(text) > 300:
+            windows = text.split("\n")
+            assert len(windows) == 16 and all(w in long for w in windows)
+            assert all(i * 3750 <= long.index(w) <= (i + 1) * 3750 - len(w) for i, w in enumerate(windows))
+
+
 def test_odd_texts_have_a_language(spark, odd):
     docs, _ = odd
     rows = {r["doc_id"]: r for r in identify(docs).collect()}
