@@ -40,6 +40,12 @@ def test_query_matches_sql(spark, duck, name):
     assert got == rows_of(names, result.fetchall())
 
 
+def test_get_date_reads_a_column(spark):
+    made = QUERIES["dat_02_get_date_of_events"](spark, SMALL)
+    assert made.count() == spark.read.parquet(f"{SMALL}/events.parquet").count()
+    assert made.select("v").distinct().count() > 1
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
 
