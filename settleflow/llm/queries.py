@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from settleflow.llm.chat import digests, format_chats
 from settleflow.llm.contamination import contained_items
+from settleflow.llm.divergence import source_divergence
 from settleflow.llm.exact import exact_copies
 from settleflow.llm.langid import identify
 from settleflow.llm.mixing import mix, period
 from settleflow.llm.minhash import near_copies
 from settleflow.llm.quality import score_quality
+from settleflow.llm.ranking import rank_documents
 from settleflow.llm.registry import ORACLES, QUERIES, query
 from settleflow.llm.substring import remove_repeats
 from settleflow.llm.tables import UPPER, filled
@@ -193,3 +195,67 @@ def _schedule_sql() -> str:
 )
 def op10(t):
     return mix(t.documents, SHARES, BLOCK)
+
+
+def _all_terms(column: str, pattern: str) -> str:
+    """SQL for the list of all terms of a text."""
+    return f"regexp_extract_all(translate(coalesce({column}, ''), '{UPPER}', '{UPPER.lower()}'), '{pattern}')"
+
+
+LETTER_RUNS = "[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+WORD_RUNS = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
+
+@query(
+    "op12_source_divergence",
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_all_terms("text", LETTER_RUNS)} AS w
+               FROM documents),
+    tok AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+    kept AS (SELECT lang, term, count(*) AS n FROM tok GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+    v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    c AS (SELECT lang, source, term, count(*) AS n FROM tok SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+    s AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS total
+          FROM g LEFT JOIN c ON c.lang = g.lang AND c.source = g.source GROUP BY g.lang, g.source),
+    p AS (SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+                 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (s.total + 5 * v.v) AS p,
+                 1 + (1000000000::HUGEINT * (k.n + 5)) // (v.total + 5 * v.v) AS q
+          FROM s JOIN v ON v.lang = s.lang JOIN kept k ON k.lang = s.lang
+          LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+    pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+              FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source
+              LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+              LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+              GROUP BY a.lang, a.source, b.source),
+    every AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL
+              SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+    SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+    FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+    WHERE part = 'pair' OR rank <= 50
+    """,
+)
+def op12(t):
+    return source_divergence(t.documents)
+
+
+@query(
+    "op13_ranked_search",
+    f"""
+    WITH d AS (SELECT doc_id, {_all_terms("text", WORD_RUNS)} AS w FROM documents),
+    s AS (SELECT count(*)::HUGEINT AS docs, sum(len(w))::HUGEINT AS total FROM d WHERE len(w) > 0),
+    i AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_all_terms("text", WORD_RUNS)}) AS term FROM benchmark)),
+    u AS (SELECT DISTINCT term FROM i),
+    f AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) SEMI JOIN u USING (term) GROUP BY doc_id, term),
+    df AS (SELECT term, count(*) AS df FROM f GROUP BY term),
+    w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS weight FROM df, s),
+    x AS (SELECT d.doc_id, f.term, weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(d.w) * docs) // total))) AS part
+          FROM f JOIN d ON d.doc_id = f.doc_id JOIN w ON w.term = f.term, s),
+    r AS (SELECT item_id, doc_id, sum(part)::BIGINT AS score FROM i JOIN x ON x.term = i.term GROUP BY item_id, doc_id)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM r WHERE score > 0)
+    WHERE rank <= 10
+    """,
+)
+def op13(t):
+    return rank_documents(t.documents, t.benchmark)
