@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from settleflow.llm.minhash import permutations
 from settleflow.llm.tables import written
-from settleflow.llm.words import Runs, hashed, lists, mixed, pieces, shingles
+from settleflow.llm.words import hashed, lists, mixed, pieces, runs_in_order, shingles
 
 SHINGLE = 5
 #: One-row bands. Of a size class, an item is between half and all of a block and a window is two blocks, so
@@ -50,16 +50,6 @@ def _places(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return (keys & mask).astype(np.int64), ((keys >> np.uint64(30)) & mask).astype(np.int64)
 
 
-def _in_order(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles of every text in the order of the text, and the index of the first of each."""
-    counts = np.diff(bounds)
-    per = np.where(counts >= SHINGLE, counts - SHINGLE + 1, np.minimum(counts, 1))
-    of = np.concatenate([[0], np.cumsum(per)])
-    row = np.repeat(np.arange(len(counts)), per)
-    start = np.arange(of[-1]) - of[row] + bounds[row]
-    return Runs(words).of(start, np.minimum(counts[row], SHINGLE).astype(np.int64)), of
-
-
 def window_keys(values: np.ndarray, of: np.ndarray, levels: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """By size class: the text of every window and the keys of the windows (permutation, window).
 
@@ -175,7 +165,7 @@ def contained_items(
 
         for batch in batches:
             for texts in pieces(batch.column(1), 1 << 18):
-                values, of = _in_order(*hashed(texts, lower=True))
+                values, of = runs_in_order(*hashed(texts, lower=True), SHINGLE)
                 if not levels or not len(values):
                     continue
                 hit_row, hit_key = [], []

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from settleflow.llm.graph import components
 from settleflow.llm.tables import written
-from settleflow.llm.words import Runs, Texts, hashed, lists, mixed, pieces, shingles
+from settleflow.llm.words import Texts, hashed, lists, mixed, pieces, sequence_keys, shingles
 
 SHINGLE = 5
 #: Permutations, each giving its minimum and its maximum, and rows of a band. A pair with a similarity of
@@ -49,14 +49,6 @@ def band_keys(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mixed(keys + np.arange(2 * half, dtype=np.uint64))
 
 
-def _text_keys(words: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    """128 bits of the whole word sequence of every text; null without words."""
-    size = np.diff(bounds)
-    keys = np.stack([Runs(w).of(bounds[:-1], size) for w in (words, mixed(words + np.uint64(1)))], axis=1)
-    raw = keys.tobytes()
-    return pa.array([raw[16 * i : 16 * i + 16] if n else None for i, n in enumerate(size)], pa.binary())
-
-
 def _sketches(docs: DataFrame) -> DataFrame:
     """``_id``, ``_key``, ``_n``, ``_bands`` of every document."""
 
@@ -71,7 +63,7 @@ def _sketches(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(texts.first, len(size)),
-                        _text_keys(words, bounds),
+                        sequence_keys(texts, lower=True),
                         pa.array(size.astype(np.int64)),
                         lists(keys.ravel(), ends),
                     ],

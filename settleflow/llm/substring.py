@@ -148,20 +148,22 @@ def remove_repeats(docs: DataFrame, length: int = 35, id: str = "doc_id", text:
        are compared: the least hash inside every window of the second length, about a tenth of all words.
     2. At each further length only those windows are hashed whose anchor, or whose first and last part of the length
        before, occur again. Nothing that occurs again at one length can be missed, as all its parts do.
-    3. When the last length is done, or nothing has survived, the repeated windows cover the words to remove.
+    3. Windows that repeat at the last length are compared once more by a second, independent hash.
+    4. When that is done, or nothing has survived, the repeated windows cover the words to remove.
 
     Hashes are compared by ranges of their values (:func:`_repeated`): per piece each hash once and a
     bit back. So work per task is bounded by the size of a piece and of a range, and neither a passage in
     every document nor a group of copies is gathered anywhere.
 
-    Hashes have 64 bits: of n compared windows about n**2 / 2**65 pairs would match by chance.
+    Each of the two hashes has 64 bits: a window that repeats by neither is removed with a probability of about n**2 / 2**128
+    among n compared ones.
 
     Null, empty and blank texts have no words. Null and repeated ids are carried along, a row each. An
     empty table gives an empty result; other columns are ignored.
     """
     if length < 2:
         raise ValueError("a window has two words at least")
-    steps = levels(length)
+    steps = [*levels(length), length]  # the last one again, by the other hash
     kind = docs.schema[id].dataType.simpleString()
     texts = docs.select(F.col(id).alias("_id"), F.col(text).cast("string").alias("_text"))
     # Bytes bound words from above and are counted without splitting.
@@ -193,9 +195,12 @@ def remove_repeats(docs: DataFrame, length: int = 35, id: str = "doc_id", text:
     body = packed.select(F.col("_piece").alias("_of"), "_ids", "_ends", "_data")
     state = packed.select("_piece", F.lit(None).cast("binary").alias("_alive"), "_blobs")
 
+    def words_at(row: dict, level: int) -> tuple[np.ndarray, np.ndarray]:
+        return hashed(_as_texts(row), lower=False, seed=int(level == len(steps) - 1))
+
     def survivors(row: dict, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Words, bounds, and the starts of windows of the level after this one whose parts all occur again."""
-        words, bounds = hashed(_as_texts(row), lower=False)
+        words, bounds = words_at(row, level)
         mask = _mask(row["_masks"])
         if level == 0:
             hashes, of_window, has = anchors(words, bounds, steps[0], steps[1])
@@ -223,6 +228,8 @@ def remove_repeats(docs: DataFrame, length: int = 35, id: str = "doc_id", text:
                     words, _, start = survivors(row, level)
                     alive = np.zeros(len(words), bool)
                     alive[start] = True
+                    if level + 1 == len(steps) - 1 and len(start):
+                        words, _ = words_at(row, level + 1)
                     hashes = Runs(words).of(start, steps[level + 1]) if len(start) else np.zeros(0, np.uint64)
                     yield pa.RecordBatch.from_arrays(
                         [

@@ -1,14 +1,14 @@
 """Words of whole texts as arrays of 64-bit hashes, for use inside tasks.
 
-A word is a run of bytes other than space and 0x09-0x0D of the UTF-8 text. Hashes of words and of
-runs of words are differences of running sums (polynomials modulo 2**64 with odd bases, so that a
-difference can be moved to position zero by the inverse power) followed by a mixing step.
+A word is a run of bytes other than space and 0x09-0x0D of the UTF-8 text. Hashes of words are made of their bytes, and
+hashes of runs of hashes of runs half as long, by steps that are not linear: no regular arrangement of letters or words
+makes two of them collide more often than chance does.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
@@ -17,27 +17,11 @@ import pyarrow.compute as pc
 
 #: Bytes of text worked on at once inside a task.
 PIECE = 1 << 21
-#: Bytes hashed at once, small enough for the caches.
-_RUN = 1 << 15
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
-
-
-@lru_cache(maxsize=16)
-def _powers(base: int, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2**64."""
-    steps = np.full(count, base, np.uint64)
-    steps[0] = 1
-    back = np.full(count, pow(base, -1, 1 << 64), np.uint64)
-    back[0] = 1
-    return np.cumprod(steps, dtype=np.uint64), np.cumprod(back, dtype=np.uint64)
-
-
-def _power_table(base: int, count: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(base, 1 << max(12, int(count).bit_length()))
+_ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -47,6 +31,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def paired(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """A hash of two hashes in their order."""
+    return mixed(mixed(one + np.uint64(0x9E3779B97F4A7C15)) + two)
+
+
 class Texts(NamedTuple):
     """Rows ``first`` to ``first + len(offsets) - 1`` of a batch: their bytes, one after the other."""
 
@@ -86,41 +75,91 @@ def spans(texts: Texts, is_word: np.ndarray | None = None) -> tuple[np.ndarray,
     return begin, end, np.searchsorted(begin, texts.offsets)
 
 
-def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of every word."""
-    out = np.empty(len(begin), np.uint64)
-    at = 0
-    while at < len(begin):
-        stop = max(at + 1, int(np.searchsorted(begin, begin[at] + _RUN)))
-        start = begin[at]
-        part = data[start : end[stop - 1]]
-        power, back = _power_table(_BYTE_BASE, len(part))
-        sums = np.empty(len(part) + 1, np.uint64)
-        sums[0] = 0
-        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * power[: len(part)], out=sums[1:])
-        b, e = begin[at:stop] - start, end[at:stop] - start
-        out[at:stop] = mixed((sums[e] - sums[b]) * back[b] + (e - b).astype(np.uint64))
-        at = stop
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of the bytes of every word: of the three 8-byte numbers a short word is, else BLAKE2b.
+
+    Another seed gives hashes that collide for other words.
+    """
+    if not len(begin):
+        return np.zeros(0, np.uint64)
+    size = end - begin
+    padded = np.concatenate([data, np.zeros(24, np.uint8)])
+    numbers = np.ndarray(len(padded) - 7, np.dtype("<u8"), padded, strides=(1,))
+    out = mixed(size.astype(np.uint64) + np.uint64(seed << 32))
+    for at in (0, 8, 16):
+        here = np.flatnonzero(size > at) if at else slice(None)
+        beyond = np.clip(8 - (size[here] - at), 0, 7).astype(np.uint64) * np.uint64(8)
+        out[here] = paired(out[here], numbers[begin[here] + at] & (_ALL >> beyond))
+    long = np.flatnonzero(size > 24)
+    if len(long):
+        raw = data.tobytes()
+        pairs = zip(begin[long].tolist(), end[long].tolist())
+        out[long] = np.frombuffer(b"".join([blake2b(raw[a:b], digest_size=8, salt=bytes([seed])).digest() for a, b in pairs]), np.uint64)
     return out
 
 
-def hashed(texts: Texts, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+def sequence_keys(texts: Texts, lower: bool) -> pa.Array:
+    """128 bits of the words of every text, one space between; null without words."""
+    begin, end, bounds = spans(texts)
+    data = (_LOWER[texts.data] if lower else texts.data).copy()
+    keep = ~_SPACE[texts.data]
+    inner = np.ones(len(begin), bool)
+    inner[bounds[1:][np.diff(bounds) > 0] - 1] = False  # behind the last word of a text nothing is kept
+    data[end[inner]] = 0x20
+    keep[end[inner]] = True
+    at = np.concatenate([[0], np.cumsum(keep)])[texts.offsets]
+    raw = data[keep].tobytes()
+    keys = [blake2b(raw[a:b], digest_size=16).digest() if b > a else None for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+    return pa.array(keys, pa.binary())
+
+
+def hashed(texts: Texts, lower: bool, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts, and the index of the first word of every text (one more at the end)."""
     begin, end, bounds = spans(texts)
-    return word_hashes(_LOWER[texts.data] if lower else texts.data, begin, end), bounds
+    return word_hashes(_LOWER[texts.data] if lower else texts.data, begin, end, seed), bounds
 
 
 class Runs:
-    """Hashes of runs of consecutive words."""
+    """Hashes of runs of consecutive words, by doubling: a run of 2n words is a pair of runs of n."""
 
     def __init__(self, words: np.ndarray):
-        power, self._back = _power_table(_WORD_BASE, len(words))
-        self._sums = np.zeros(len(words) + 1, np.uint64)
-        np.cumsum(words * power[: len(words)], out=self._sums[1:])
+        self._doubled = [words]
+
+    def _of_power(self, power: int) -> np.ndarray:
+        """Hashes of the runs of 2**power words from every place."""
+        while len(self._doubled) <= power:
+            half, size = self._doubled[-1], 1 << (len(self._doubled) - 1)
+            self._doubled.append(paired(half[:-size], half[size:]) if len(half) > size else half[:0])
+        return self._doubled[power]
 
-    def of(self, start: np.ndarray, length) -> np.ndarray:
+    def of(self, start: np.ndarray, length: int) -> np.ndarray:
         """Hash of the ``length`` words from each start."""
-        return mixed((self._sums[start + length] - self._sums[start]) * self._back[start] + np.uint64(length))
+        if not len(start):
+            return np.zeros(0, np.uint64)
+        found, at = None, start
+        for power in reversed(range(length.bit_length())):
+            if length >> power & 1:
+                part = self._of_power(power)[at]
+                found = part if found is None else paired(found, part)
+                at = at + (1 << power)
+        return mixed(found + np.uint64(length))
+
+
+def runs_in_order(words: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of ``size`` words in the order of the texts, and the index of the first of every text (one more at the end).
+
+    With fewer than ``size`` words the whole text is one run; without words there is none.
+    """
+    counts = np.diff(bounds)
+    per = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
+    of = np.concatenate([[0], np.cumsum(per)])
+    row = np.repeat(np.arange(len(counts)), per)
+    start, length = np.arange(of[-1]) - of[row] + bounds[row], np.minimum(counts[row], size)
+    runs, values = Runs(words), np.empty(len(start), np.uint64)
+    for n in range(1, size + 1):
+        here = np.flatnonzero(length == n)
+        values[here] = runs.of(start[here], n)
+    return values, of
 
 
 def lengths_to_rows(bounds: np.ndarray) -> np.ndarray:
@@ -133,19 +172,14 @@ def shingles(words: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarr
 
     With fewer than ``size`` words the whole text is one shingle; without words there is none.
     """
-    counts = np.diff(bounds)
-    runs = Runs(words)
-    per = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
-    offset = np.concatenate([[0], np.cumsum(per)])
-    row = np.repeat(np.arange(len(counts)), per)
-    start = np.arange(offset[-1]) - offset[row] + bounds[row]
-    values = runs.of(start, np.minimum(counts[row], size).astype(np.int64)) if len(start) else np.zeros(0, np.uint64)
+    values, of = runs_in_order(words, bounds, size)
+    row = np.repeat(np.arange(len(bounds) - 1), np.diff(of))
     order = np.lexsort((values, row)) if len(values) else np.zeros(0, np.int64)
     values, row = values[order], row[order]
     fresh = np.ones(len(values), bool)
     fresh[1:] = (values[1:] != values[:-1]) | (row[1:] != row[:-1])
     values, row = values[fresh], row[fresh]
-    return values, np.searchsorted(row, np.arange(len(counts) + 1))
+    return values, np.searchsorted(row, np.arange(len(bounds)))
 
 
 def lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:

@@ -49,3 +49,11 @@ def test_items_inside_documents(spark):
     assert got == expected and len(expected) > 100
     assert contained_items(table.limit(0), bench).count() == 0
     assert contained_items(table, bench.limit(0)).count() == 0
+
+
+def test_regular_words_are_not_taken_for_equal(spark):
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1 << 10))
+    two = one.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, f"{one} b c d e"), (2, f"{two} b c d e")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, f"{one} b c d e")], "item_id long, text string")
+    assert [(r["doc_id"], r["item_id"]) for r in contained_items(docs, items).collect()] == [(1, 7)]

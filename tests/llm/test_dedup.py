@@ -164,3 +164,33 @@ def test_repeats_of_texts_without_any(spark):
     got = remove_repeats(table(spark, [(1, "a b c"), (2, None)]), 35).collect()
     assert sorted(tuple(r) for r in got) == [(1, 3, 0, "a b c"), (2, 0, 0, "")]
     assert remove_repeats(table(spark, []), 35).count() == 0
+
+
+def thue_morse(rounds):
+    order = "".join("ab"[bin(i).count("1") % 2] for i in range(1 << rounds))
+    return order, order.translate(str.maketrans("ab", "ba"))
+
+
+def test_regular_words_are_not_taken_for_equal(spark):
+    a, b = thue_morse(10)
+    rows = [(1, f"{a} one two three four"), (2, f"{b} one two three four")]
+    assert {r["doc_id"]: r["component_id"] for r in near_copies(table(spark, rows)).collect()} == {1: 1, 2: 2}
+    fill = " ".join(f"w{i}" for i in range(34))
+    got = remove_repeats(table(spark, [(1, f"{a} {fill}"), (2, f"{b} {fill}")]), 35).collect()
+    assert [r["n_removed"] for r in got] == [0, 0]
+    order = [" ".join(["one", "two"][c == "b"] for c in word) for word in thue_morse(11)]
+    got = remove_repeats(table(spark, [(1, order[0]), (2, order[1])]), 2048).collect()
+    assert [r["n_removed"] for r in got] == [0, 0]
+
+
+def test_repeats_and_near_copies_in_texts_of_several_megabytes(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    long = [word() for _ in range(500_000)]
+    passage = [word() for _ in range(60)]
+    rows = [(1, " ".join(long)), (2, " ".join(long[:400_000] + ["x"] + long[400_000:])), (3, " ".join(passage)), (4, "x" * 3_000_000)]
+    rows += [(5, " ".join([word() for _ in range(300_000)] + passage + [word()])), (6, "x" * 2_999_999)]
+    got = {r["doc_id"]: (r["component_id"], r["n_shingles"]) for r in near_copies(table(spark, rows)).collect()}
+    assert {i: c for i, (c, _) in got.items()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 6}
+    removed = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in remove_repeats(table(spark, rows)).collect()}
+    assert removed == {1: (500_000, 500_000), 2: (500_001, 500_000), 3: (60, 60), 4: (1, 0), 5: (300_061, 60), 6: (1, 0)}

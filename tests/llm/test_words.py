@@ -3,7 +3,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from settleflow.llm.substring import anchors, levels
-from settleflow.llm.words import Runs, hashed, pieces, shingles
+from settleflow.llm.words import Runs, hashed, pieces, sequence_keys, shingles
 
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="aAbé \t\n\x0b\x1cß", max_size=30)), max_size=8)
 
@@ -75,3 +75,51 @@ def test_lengths_double_up_to_the_target():
         steps = levels(length)
         assert steps[-1] == length and len(steps) > 1
         assert all(a < b <= 2 * a for a, b in zip(steps, steps[1:]))
+
+
+def alternating(rounds, one, two):
+    """Letters or words in Thue-Morse order, and the same with both exchanged."""
+    order = [bin(i).count("1") % 2 for i in range(1 << rounds)]
+    return [one if x == 0 else two for x in order], [two if x == 0 else one for x in order]
+
+
+def test_regular_arrangements_do_not_collide():
+    for rounds in range(2, 14):
+        a, b = ("".join(x) for x in alternating(rounds, "a", "b"))
+        (part,) = pieces(pa.array([a, b]))
+        for seed in (0, 1):
+            words, _ = hashed(part, lower=True, seed=seed)
+            assert words[0] != words[1]
+        c, d = (" ".join(x) for x in alternating(rounds, "one", "two"))
+        (part,) = pieces(pa.array([c, d]))
+        words, bounds = hashed(part, lower=True)
+        runs = Runs(words).of(bounds[:-1], 1 << rounds)
+        assert runs[0] != runs[1]
+        for shift in (8, 20, 40):  # nor in some of their bits, of which ranges and filters are made
+            assert runs[0] >> np.uint64(shift) != runs[1] >> np.uint64(shift)
+    # Every arrangement of two letters, and of two words.
+    (part,) = pieces(pa.array([format(i, "016b") for i in range(1 << 16)]))
+    assert len(np.unique(hashed(part, lower=False)[0])) == 1 << 16
+    words, bounds = hashed(next(pieces(pa.array([" ".join(format(i, "012b")) for i in range(1 << 12)]))), lower=False)
+    assert len(np.unique(Runs(words).of(bounds[:-1], 12))) == 1 << 12
+
+
+def test_words_of_every_length_differ_and_seeds_are_independent():
+    texts = [chr(97 + n % 26) * n for n in range(1, 80)] + ["a" * n for n in range(1, 80)] + ["a" * n + "\0" for n in range(40)]
+    (part,) = pieces(pa.array(texts))
+    one, two = (hashed(part, lower=False, seed=seed)[0] for seed in (0, 1))
+    assert len(np.unique(one)) == len(set(texts)) == len(np.unique(two))
+    assert not set(one.tolist()) & set(two.tolist())
+
+
+@settings(max_examples=60, deadline=None)
+@given(TEXTS, st.integers(1, 40))
+def test_sequence_keys_are_equal_for_equal_words_only(texts, limit):
+    seen = {}
+    for part in pieces(pa.array(texts, pa.string()), limit):
+        keys = sequence_keys(part, lower=True).to_pylist()
+        for i, key in enumerate(keys):
+            words = tuple(w.lower() for w in words_of(texts[part.first + i]))
+            assert (key is None) == (not words)
+            assert seen.setdefault(words, key) == key
+    assert len(set(seen.values())) == len(seen)
