@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from settleflow.llm.tables import in_fold, labelled_sample
+from settleflow.llm.tables import fitted, in_fold, labelled_sample
 from settleflow.llm.words import Texts, hashed, lengths_to_rows, pieces
 
 #: Terms of a kind (shape runs, words) after hashing, and latent dimensions.
@@ -74,7 +74,10 @@ def terms(texts: Texts) -> np.ndarray:
 
 def project(space: Space, counts: np.ndarray) -> np.ndarray:
     """Unit vectors in the latent space; zero for a text without terms."""
-    latent = (counts * space.weight) @ space.basis
+    return _unit((counts * space.weight) @ space.basis)
+
+
+def _unit(latent: np.ndarray) -> np.ndarray:
     return latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
 
 
@@ -84,10 +87,10 @@ def fit(samples: list[tuple[str, int]], seed: int = 3) -> Space:
     share = float((labels.sum() + 1) / (len(labels) + 2))
     if len(set(labels.tolist())) < 2:
         return Space(np.zeros(0), np.zeros(0), np.zeros((0, RANK), np.float32), labels[:0], share)
-    counts = np.concatenate([terms(texts) for texts in pieces(pa.array([text for text, _ in samples]))])
-    present = (counts > 0).sum(axis=0)
-    weight = (np.log((1 + len(counts)) / (1 + present)) + 0.2).astype(np.float32)
-    matrix = counts * weight
+    matrix = np.concatenate([terms(texts) for texts in pieces(pa.array([text for text, _ in samples]))])
+    present = (matrix > 0).sum(axis=0)
+    weight = (np.log((1 + len(matrix)) / (1 + present)) + 0.2).astype(np.float32)
+    matrix *= weight
     rng = np.random.default_rng(seed)
     rank = min(RANK, *matrix.shape)
     basis = matrix.T @ (matrix @ rng.normal(size=(matrix.shape[1], rank + 8)).astype(np.float32))
@@ -95,8 +98,7 @@ def fit(samples: list[tuple[str, int]], seed: int = 3) -> Space:
         basis, _ = np.linalg.qr(matrix.T @ (matrix @ basis))
     _, _, turned = np.linalg.svd(matrix @ basis, full_matrices=False)
     basis = np.ascontiguousarray((basis @ turned.T)[:, :rank], np.float32)
-    space = Space(weight, basis, np.zeros((0, rank), np.float32), labels, share)
-    return space._replace(vectors=project(space, counts))
+    return Space(weight, basis, _unit(matrix @ basis), labels, share)
 
 
 def vote(space: Space, vectors: np.ndarray) -> np.ndarray:
@@ -127,7 +129,7 @@ def score_quality(
     At most ``FIT_ROWS`` labelled texts of each class outside the held-out fold span a latent-semantic space
     of ``RANK`` dimensions. Their vectors (2 * FIT_ROWS * RANK floats, under 1 MB) and the projection are
     broadcast; every whole text is projected and its cosine with every labelled vector computed in
-    blocks; the nearest ones vote. As the sample takes both classes alike, the vote is of balanced
+    blocks; the nearest ones vote. The sample is fitted in one task, the driver sees only the model. As the sample takes both classes alike, the vote is of balanced
     classes, not of their shares in the data. Scoring is one pass without a shuffle.
 
     Null and empty texts have no terms and get the share of label 1. Null and other labels than 0 and 1 are not learned from;
@@ -135,7 +137,7 @@ def score_quality(
     each; other columns are ignored.
     """
     sample = labelled_sample(docs, labels, label, folds, fold, FIT_ROWS, FIT_CHARS)
-    shared = docs.sparkSession.sparkContext.broadcast(fit(sample))
+    shared = docs.sparkSession.sparkContext.broadcast(fitted(sample, fit))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space = shared.value

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+from typing import TypeVar
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,24 +76,21 @@ def _level(sizes: list[int], total: int) -> int:
     return max(sizes, default=0)
 
 
-def texts_of(docs: DataFrame, ids: DataFrame, most: int) -> list:
-    """``_text``, ``_label`` of the documents in ``ids`` (``_id``, ``_label``), a table of at most a few thousand rows.
+def texts_of(docs: DataFrame, ids: DataFrame, most: int) -> DataFrame:
+    """``_id``, ``_label``, ``_text`` of the documents in ``ids`` (``_id``, ``_label``), a table of at most a few thousand rows.
 
-    The ids are broadcast, so no text is shuffled before it is shortened to ``most`` characters, and only those texts
-    reach the driver. Of rows that repeat an id the least text counts.
+    The ids are broadcast, so no text is shuffled before it is shortened to ``most`` characters. Of rows that repeat an id
+    the least text counts; empty texts are left out.
     """
     texts = docs.select(F.col("doc_id").alias("_of"), filled(F.col("text")).alias("_whole"))
     near = texts.join(F.broadcast(ids), F.col("_of") == F.col("_id")).select("_id", "_label", _shortened(F.col("_whole"), most).alias("_text"))
-    found = near.where(F.col("_text") != "").groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
-    return sorted(((row["_id"], row["_text"], row["_label"]) for row in found.collect()), key=lambda row: row[0])
+    return near.where(F.col("_text") != "").groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
 
 
-def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, rows: int, total: int
-) -> list[tuple[str, int]]:
-    """Texts and labels of at most ``rows`` documents of each class, none in the held-out fold.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, rows: int, total: int) -> DataFrame:
+    """``_id``, ``_label``, ``_text`` of at most ``rows`` documents of each class, none in the held-out fold.
 
-    The bounds are what lets a model be fitted on the driver: the rows are those with the smallest hash of the id,
+    The bounds are what lets a model be fitted in one task: the rows are those with the smallest hash of the id,
     and the texts have ``total`` characters at most. Only if whole texts exceed that, the longest are learned from in windows spread
     over the whole text. Only ids and lengths meet the labels. Conflicting labels of one id count as 1.
     """
@@ -103,5 +105,19 @@ def labelled_sample(
     found = [joined.where(F.col("_label") == value).orderBy(F.xxhash64("_id"), "_id").limit(rows).collect() for value in (0, 1)]
     ids = [(row["_id"], row["_label"]) for row in found[0] + found[1]]
     chosen = docs.sparkSession.createDataFrame(ids, joined.select("_id", "_label").schema)
-    most = _level([row["_size"] for row in found[0] + found[1]], total)
-    return [(text, label) for _, text, label in texts_of(docs, chosen, most)]
+    return texts_of(docs, chosen, _level([row["_size"] for row in found[0] + found[1]], total))
+
+
+Model = TypeVar("Model")
+
+
+def fitted(sample: DataFrame, fit: Callable[[list[tuple[str, int]]], Model]) -> Model:
+    """The model of a sample, fitted in one task: the texts meet there and only the model reaches the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns))]
+        model = fit([(text, label) for _, text, label in sorted(rows)])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    found = sample.select("_id", "_text", "_label").repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else fit([])

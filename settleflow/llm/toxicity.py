@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from settleflow.llm.tables import in_fold, labelled_sample
+from settleflow.llm.tables import fitted, in_fold, labelled_sample
 from settleflow.llm.words import _LOWER, Texts, lengths_to_rows, pieces, spans, word_hashes
 
 #: Words of a window and from one window to the next: any 12 words in a row are together in some window.
@@ -292,14 +292,14 @@ def score_toxicity(
     scores as its highest window. Windows overlap and cover the whole text.
 
     The network is trained in numpy on at most ``FIT_ROWS`` labelled texts of each class outside the held-out
-    fold and broadcast (under 2 MB whatever the data); scoring is one pass without a shuffle.
+    fold, in one task, and broadcast (under 2 MB whatever the data); scoring is one pass without a shuffle.
 
     Null and empty texts get the score of a window without words. Null and other labels than 0 and 1 are not learned
     from; without labels of both classes all scores are the smoothed share of label 1. A null id counts as held
     out. Repeated rows give a row each; other columns are ignored.
     """
     sample = labelled_sample(docs, labels, label, folds, fold, FIT_ROWS, FIT_CHARS)
-    shared = docs.sparkSession.sparkContext.broadcast(train(sample))
+    shared = docs.sparkSession.sparkContext.broadcast(fitted(sample, train))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value

@@ -88,9 +88,10 @@ def test_sample_is_bounded_by_all_characters_not_by_length(spark):
     docs = spark.createDataFrame([(1, long), (3, "ab " * 100), (4, "cd"), (5, long), (6, ""), (7, None)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(1, 8)], "doc_id long, toxic int")
     held = [i for i in (1, 3, 4, 5) if fold(i, 4) == 2]
-    whole = labelled_sample(docs, labels, "toxic", 4, 2, 100, 200_000)
+    sample = lambda total: [(r["_text"], r["_label"]) for r in labelled_sample(docs, labels, "toxic", 4, 2, 100, total).collect()]
+    whole = sample(200_000)
     assert sorted(map(len, (t for t, _ in whole))) == sorted(n for i, n in ((1, 60_000), (3, 300), (4, 2), (5, 60_000)) if i not in held)
-    some = labelled_sample(docs, labels, "toxic", 4, 2, 100, 12_000)
+    some = sample(12_000)
     assert len(some) == len(whole) and sum(len(t) for t, _ in some) <= 12_000
     for text, _ in some:
         if len(text) > 300:
