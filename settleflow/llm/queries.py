@@ -14,6 +14,7 @@ from settleflow.llm.minhash import near_copies
 from settleflow.llm.quality import score_quality
 from settleflow.llm.ranking import rank_documents
 from settleflow.llm.registry import ORACLES, QUERIES, query
+from settleflow.llm.secrets import PATTERNS, find_secrets
 from settleflow.llm.substring import remove_repeats
 from settleflow.llm.tables import UPPER, filled
 from settleflow.llm.toxicity import score_toxicity
@@ -202,6 +203,18 @@ def _all_terms(column: str, pattern: str) -> str:
     return f"regexp_extract_all(translate(coalesce({column}, ''), '{UPPER}', '{UPPER.lower()}'), '{pattern}')"
 
 
+@query("op11_secret_scan")
+def op11(t):
+    said = lambda spans: F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(":", x.kind, x.start, x.end)))
+    of = lambda *kinds: F.filter("spans", lambda x: x.kind.isin(*kinds))
+    return find_secrets(t.documents).select(
+        "doc_id",
+        *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in PATTERNS],
+        F.sha2(said(of(*PATTERNS)), 256).alias("base_sha256"),
+        said(F.col("spans")).alias("spans"),
+    )
+
+
 LETTER_RUNS = "[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 WORD_RUNS = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
