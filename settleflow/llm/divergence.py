@@ -14,8 +14,10 @@ from settleflow.llm.tables import filled, written
 from settleflow.llm.terms import LETTERS, terms_of
 from settleflow.llm.words import pieces
 
-#: Groups of a block and terms of a block, about: a cell holds two blocks of groups over one block of terms.
+#: Groups of a block and terms of a block, about (blocks are chosen by hash): a cell holds two blocks of groups over one of terms.
 GROUPS, TERMS = 64, 2048
+#: Bits of a group's number that count inside its block.
+BLOCK_BITS = 32
 #: Fixed values of the shares: parts in a whole, and what is added to every count.
 WHOLE, ADDED = 1_000_000_000, 5
 
@@ -84,8 +86,8 @@ def partial_divergences(group: np.ndarray, term: np.ndarray, share: np.ndarray,
     dense = np.repeat(base[:, None], terms, axis=1)
     seen = (term >= 0) & (group >= 0)
     dense[np.searchsorted(groups, group[seen]), term[seen]] = share[seen]
-    one = np.flatnonzero(groups // GROUPS == lower)
-    two = np.flatnonzero(groups // GROUPS == upper)
+    one = np.flatnonzero(groups >> BLOCK_BITS == lower)
+    two = np.flatnonzero(groups >> BLOCK_BITS == upper)
     for at in one:
         other = two[two > at]
         if len(other):
@@ -147,24 +149,27 @@ def source_divergence(
     )
     held = written(counts.join(numbered, ["_lang", "_term"]).select("_lang", "_source", "_term", "_n", "_block", "_t", "_q"), "audit-held")
 
-    # Groups, numbered inside their language.
+    # Groups, numbered inside their block in the same way: the number of a group says its block.
     sums = held.groupBy("_lang", "_source").agg(F.sum("_n").alias("_sum"))
-    every = rows.select("_lang", "_source").distinct().join(sums, ["_lang", "_source"], "left").join(langs, "_lang", "left")
+    sources = written(rows.select("_lang", "_source").distinct(), "audit-sources")
+    spread = sources.groupBy("_lang").agg(F.ceil(F.count(F.lit(1)) / GROUPS).cast("long").alias("_wide"))
+    every = sources.join(spread, "_lang").join(sums, ["_lang", "_source"], "left").join(langs, "_lang", "left")
+    every = every.withColumn("_own", F.pmod(F.xxhash64("_source"), F.col("_wide")))
+    inside = Window.partitionBy("_lang", "_own").orderBy("_source")
     groups = written(
         every.select(
             "_lang", "_source", F.coalesce("_sum", F.lit(0)).alias("_sum"), F.coalesce("_terms", F.lit(0)).alias("_terms"), blocks.alias("_blocks"),
-            (F.row_number().over(Window.partitionBy("_lang").orderBy("_source")) - 1).cast("long").alias("_g"),
+            (F.shiftleft("_own", BLOCK_BITS) + F.row_number().over(inside) - 1).alias("_g"),
         ),
         "audit-groups",
     )
-    spread = groups.groupBy("_lang").agg((F.floor(F.max("_g") / GROUPS) + 1).alias("_wide"))
 
     found = held.join(groups.select("_lang", "_source", "_g", "_sum", "_terms"), ["_lang", "_source"])
     found = found.withColumn("_p", share(F.col("_n"), F.col("_sum"), F.col("_terms")))
     none = share(F.lit(0), F.col("_sum"), F.col("_terms"))
     exists = groups.select("_lang", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).alias("_block"), "_g", F.lit(-1).cast("long").alias("_t"), none.alias("_p"))
     slices = found.select("_lang", "_block", "_g", "_t", "_p").unionByName(exists).join(spread, "_lang")
-    own, axis = F.floor(F.col("_g") / GROUPS), F.sequence(F.lit(0).cast("long"), F.col("_wide") - 1)
+    own, axis = F.shiftright("_g", BLOCK_BITS), F.sequence(F.lit(0).cast("long"), F.col("_wide") - 1)
     cell = lambda other: F.struct(F.least(own, other).alias("_i"), F.greatest(own, other).alias("_j"))
     sent = slices.select("_lang", "_block", "_g", "_t", "_p", F.explode(F.transform(axis, cell)).alias("_to")).select(
         "_lang", "_to._i", "_to._j", "_block", "_g", "_t", "_p"
