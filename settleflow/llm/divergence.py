@@ -134,11 +134,11 @@ def source_divergence(
     counts = written(term_counts(rows), "audit-counts")
     in_lang = counts.groupBy("_lang", "_term").agg(F.sum("_n").alias("_all"), F.sum("_df").alias("_docs"))
     kept = written(in_lang.where(F.col("_docs") >= least).select("_lang", "_term", "_all"), "audit-terms")
-    langs = kept.groupBy("_lang").agg(F.count(F.lit(1)).alias("_terms"), F.sum("_all").alias("_total"))
+    langs = written(kept.groupBy("_lang").agg(F.count(F.lit(1)).alias("_terms"), F.sum("_all").alias("_total")), "audit-langs")
     blocks = F.ceil(F.coalesce("_terms", F.lit(1)) / TERMS).cast("long")
 
     # Terms numbered inside their block: a block is chosen by hash, so it has about TERMS terms.
-    sized = kept.join(langs, "_lang").withColumn("_block", F.pmod(F.xxhash64("_term"), blocks))
+    sized = kept.join(langs, "_lang").withColumn("_block", F.pmod(F.xxhash64("_term"), blocks)).repartition("_lang", "_block")
     inside = Window.partitionBy("_lang", "_block").orderBy("_term")
     numbered = written(
         sized.select(
@@ -158,17 +158,18 @@ def source_divergence(
     inside = Window.partitionBy("_lang", "_own").orderBy("_source")
     groups = written(
         every.select(
-            "_lang", "_source", F.coalesce("_sum", F.lit(0)).alias("_sum"), F.coalesce("_terms", F.lit(0)).alias("_terms"), blocks.alias("_blocks"),
+            "_lang", "_source", "_wide", F.coalesce("_sum", F.lit(0)).alias("_sum"), F.coalesce("_terms", F.lit(0)).alias("_terms"), blocks.alias("_blocks"),
             (F.shiftleft("_own", BLOCK_BITS) + F.row_number().over(inside) - 1).alias("_g"),
         ),
         "audit-groups",
     )
 
-    found = held.join(groups.select("_lang", "_source", "_g", "_sum", "_terms"), ["_lang", "_source"])
+    found = held.join(groups.select("_lang", "_source", "_g", "_wide", "_sum", "_terms"), ["_lang", "_source"])
     found = found.withColumn("_p", share(F.col("_n"), F.col("_sum"), F.col("_terms")))
     none = share(F.lit(0), F.col("_sum"), F.col("_terms"))
-    exists = groups.select("_lang", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).alias("_block"), "_g", F.lit(-1).cast("long").alias("_t"), none.alias("_p"))
-    slices = found.select("_lang", "_block", "_g", "_t", "_p").unionByName(exists).join(spread, "_lang")
+    every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).alias("_block")
+    exists = groups.select("_lang", every_block, "_g", "_wide", F.lit(-1).cast("long").alias("_t"), none.alias("_p"))
+    slices = found.select("_lang", "_block", "_g", "_wide", "_t", "_p").unionByName(exists)
     own, axis = F.shiftright("_g", BLOCK_BITS), F.sequence(F.lit(0).cast("long"), F.col("_wide") - 1)
     cell = lambda other: F.struct(F.least(own, other).alias("_i"), F.greatest(own, other).alias("_j"))
     sent = slices.select("_lang", "_block", "_g", "_t", "_p", F.explode(F.transform(axis, cell)).alias("_to")).select(

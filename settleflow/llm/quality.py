@@ -7,8 +7,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from settleflow.llm.tables import fitted, in_fold, labelled_sample
 from settleflow.llm.words import Texts, hashed, lengths_to_rows, pieces
@@ -122,9 +124,15 @@ def vote(space: Space, vectors: np.ndarray) -> np.ndarray:
 
 
 def score_quality(
-    docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5, fold: int = 0, threshold: float = 0.3
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "quality",
+    folds: int = 5,
+    fold: int = 0,
+    threshold: float = 0.3,
+    row: str | None = None,
 ) -> DataFrame:
-    """``doc_id``, ``held_out``, ``score``, ``predicted`` for every document.
+    """``doc_id``, ``held_out``, ``score``, ``predicted`` for every document, and the whole input row in ``row`` if that is named.
 
     At most ``FIT_ROWS`` labelled texts of each class outside the held-out fold span a latent-semantic space
     of ``RANK`` dimensions. Their vectors (2 * FIT_ROWS * RANK floats, under 1 MB) and the projection are
@@ -142,7 +150,8 @@ def score_quality(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space = shared.value
         for batch in batches:
-            for texts in pieces(batch.column(1), 1 << 20):
+            whole = batch.column(0)
+            for texts in pieces(pc.cast(pc.struct_field(whole, "text"), pa.string()), 1 << 20):
                 count = len(texts.offsets) - 1
                 score = np.empty(count)
                 for at in range(0, count, BLOCK):
@@ -151,14 +160,16 @@ def score_quality(
                     part = Texts(at, texts.data[low:high], texts.offsets[at : end + 1] - low)
                     vectors = project(space, terms(part)) if len(space.vectors) else np.zeros((end - at, 1))
                     score[at:end] = vote(space, vectors)
-                ids = batch.column(0).slice(texts.first, count)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(score)], ["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([whole.slice(texts.first, count), pa.array(score)], ["_row", "score"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    found = docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {kind}, score double")
+    carried = docs.columns if row else ["doc_id", "text"]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carried]).alias("_row"))
+    kind = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())])
+    found = rows.mapInArrow(run, kind).select(F.col("_row.doc_id").alias("doc_id"), "score", "_row")
     return found.select(
         "doc_id",
         in_fold(F.col("doc_id"), folds, fold).alias("held_out"),
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
+        *([F.col("_row").alias(row)] if row else []),
     )

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from settleflow.llm import crf
@@ -294,16 +294,18 @@ def _windows(docs: DataFrame) -> DataFrame:
 
 def field_of(docs: DataFrame) -> crf.Field:
     """A field learned from a bounded sample of ``docs`` (``_place``, ``_text``), fitted in one task."""
-    windows = _windows(docs)
-    best = [windows.where(F.col("_has") == has).orderBy("_place", "_window").limit(FIT_ROWS) for has in (True, False)]
+    # Smallest hashes of some tasks together first, so that the last step does not grow with the number of tasks.
+    windows = _windows(docs).withColumn("_some", F.spark_partition_id() % 256)
+    for by in (["_has", "_some"], ["_has"]):
+        order = Window.partitionBy(*by).orderBy("_place", "_window", "_file")
+        windows = windows.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= FIT_ROWS)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
         field = learn([(window, file) for _, window, file in rows])
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(field)], pa.binary())], ["field"])
 
-    sample = best[0].unionByName(best[1]).select("_place", "_window", "_file")
-    found = sample.repartition(1).mapInArrow(fit, "field binary").collect()
+    found = windows.select("_place", "_window", "_file").repartition(1).mapInArrow(fit, "field binary").collect()
     return pickle.loads(found[0]["field"]) if found else learn([])
 
 
