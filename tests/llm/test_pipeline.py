@@ -104,6 +104,37 @@ def test_stages_carry_further_columns_and_null_rows(spark):
         assert out.columns == docs.columns
         ids = {r["doc_id"] for r in out.collect()}
         assert ids == {"exact_dedup": {3, 4, None}, "near_dedup": {1, 2, 3, None}, "decontamination": {1, 2, 3, 4, None}}[name]
+    assert {r["doc_id"] for r in corpus_pipeline.quality(spark, docs, SMALL).collect()} <= {1, 2, 3, 4, None}
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() == 5
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SMALL).count() == 0
+
+
+def test_every_row_is_judged_by_its_own_text(spark):
+    """Null and repeated ids, in every stage: a row goes for its text, not for its id."""
+    tables = {n: spark.read.parquet(f"{SMALL}/{n}.parquet") for n in ("documents", "benchmark", "labels")}
+    scores = QUERIES["op3_quality"](spark, SMALL).collect()
+    texts = {r["doc_id"]: r["text"] for r in tables["documents"].collect()}
+    bad = texts[min(r["doc_id"] for r in scores if r["score"] < 0.2 and texts[r["doc_id"]])]
+    good_id = min(r["doc_id"] for r in scores if r["score"] > 0.8)
+    more = spark.createDataFrame([(None, bad, None, None, 0), (good_id, bad, "en", "src1", 0), (None, texts[good_id], None, None, 0)], tables["documents"].schema)
+    kept = corpus_pipeline.quality(spark, tables["documents"].unionByName(more), SMALL).collect()
+    assert bad not in {r["text"] for r in kept}
+    assert sorted((r["doc_id"] for r in kept if r["text"] == texts[good_id]), key=str) == sorted([good_id, None], key=str)
+
+    item = next(r["text"] for r in tables["benchmark"].collect() if r["text"] and len(r["text"].split()) > 8)
+    same = "these are the very same eight words here"
+    near = " ".join(f"w{i}" for i in range(40))
+    rows = [
+        (5, same), (None, same), (7, "seven"), (7, same), (7, same.upper()), (None, "no id"), (None, "no id"),
+        (9, near), (9, near + " x"), (None, near), (None, "lone"), (1, f"a {item} b"), (1, "clean"), (None, item),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "src0", 0, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long, n int")
+    left = lambda stage: {r["n"] for r in stage(spark, docs, SMALL).collect()}
+    exact = left(corpus_pipeline.exact_dedup)
+    assert len(exact & {0, 1, 3, 4}) == 1 and exact & {0, 1, 3, 4} <= {3, 4}  # one row of the largest id
+    assert len(exact & {5, 6}) == 1 and exact & {7, 9} == {7} and {2, 8, 10, 11, 12, 13} <= exact
+    close = left(corpus_pipeline.near_dedup)
+    assert close & {0, 1, 3, 4} == {0} and len(close & {5, 6}) == 1 and len(close & {7, 8, 9}) == 1 and close & {9} == set()
+    assert left(corpus_pipeline.decontamination) == set(range(14)) - {11, 13}
+    assert corpus_pipeline.mixing(spark, docs, SMALL).count() == 14
