@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DECIMAL = "decimal(38,4)"
-# Operands of up to 14 integer digits, whose quotient Spark keeps to more decimals than it keeps for larger ones.
-OPERAND = "decimal(18,4)"
+# Decimals of an operand, and of the product of two.
+SCALE, PRODUCT_SCALE = 4, 8
+# Digits of a quotient found at a time; a remainder with so many zeros behind it is still a decimal.
+DIGITS = 4
 
 
 def smul(k, c: Column) -> Column:
@@ -43,29 +47,101 @@ def bd_subtract(a: Column, b: Column) -> Column:
     return a - b
 
 
-def bd_multiply(a: Column, b: Column) -> Column:
-    """Product of two amounts, rounded to the six decimals that leave most room for large ones."""
-    return a.cast(DECIMAL) * b.cast(DECIMAL)
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body reads it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _rounded(negative: Column, whole: Column, fraction: Column, scale: int) -> Column:
+    """``whole + fraction`` (a small one) rounded half up to ``scale``, with its sign; too many digits end the job."""
+    wide = 38 if scale <= 6 else 37  # what a sum may have so that it keeps its scale
+    signed = lambda c: F.when(negative, _minus(c)).otherwise(c)
+    total = signed(whole).cast(f"decimal({wide},{scale})") + signed(F.round(fraction, scale))
+    return total.cast(f"decimal(38,{scale})")
+
+
+def _minus(c: Column) -> Column:
+    """The other sign, by a product: a plain minus rounds decimals of more than 34 digits."""
+    return c * F.lit(-1).cast("decimal(1,0)")
+
+
+def _size(c: Column) -> Column:
+    return F.when(c < 0, _minus(c)).otherwise(c).cast(DECIMAL)
+
+
+def bd_multiply(a: Column, b: Column, scale: int = PRODUCT_SCALE) -> Column:
+    """Product of two amounts, exact; with a smaller ``scale`` rounded half up to it, once.
+
+    Whole parts and decimals are multiplied apart, as a product of two wide decimals would be cut. A product has up to 29
+    whole digits (32 for a scale up to 6); a larger one ends the job.
+    """
+    if not 0 <= scale <= PRODUCT_SCALE:
+        raise ValueError(f"a product has 0 to {PRODUCT_SCALE} decimals")
+
+    def product(x: Column) -> Column:
+        one, two = x["whole"], x["other_whole"]
+        crossed = (one * x["other_part"]).cast(DECIMAL) + (two * x["part"]).cast(DECIMAL)
+        carried = F.floor(crossed).cast("decimal(38,0)")
+        fraction = (crossed - carried).cast("decimal(4,4)") + x["part"] * x["other_part"]
+        return _rounded(x["negative"], (one * two).cast("decimal(38,0)") + carried, fraction, scale)
+
+    a, b = a.cast(DECIMAL), b.cast(DECIMAL)
+    whole, part = lambda c: F.floor(_size(c)).cast("decimal(34,0)"), lambda c: (_size(c) - F.floor(_size(c))).cast("decimal(4,4)")
+    parts = F.struct(
+        ((a < 0) != (b < 0)).alias("negative"), whole(a).alias("whole"), part(a).alias("part"), whole(b).alias("other_whole"), part(b).alias("other_part")
+    )
+    return F.when(a.isNotNull() & b.isNotNull(), _with(parts, product))
 
 
 def bd_negate(a: Column) -> Column:
-    return -a
+    return _minus(a.cast(DECIMAL)).cast(DECIMAL)
 
 
 def bd_abs(a: Column) -> Column:
-    return F.abs(a)
+    return _size(a.cast(DECIMAL))
 
 
 def bd_divide(a: Column, b: Column, scale: int) -> Column:
-    """Quotient rounded half up to ``scale``; NULL for a zero divisor.
+    """Quotient rounded half up to ``scale`` (0 to 8), once; NULL for a zero divisor.
 
-    Operands beyond 14 integer digits are divided at full width, where the quotient has six
-    decimals before it is rounded.
+    A long division: the whole part, then ``DIGITS`` decimals at a time from the remainder, so amounts of any size
+    give true digits. A divisor has up to 30 whole digits and a quotient up to 29 (32 for a scale up to 6); larger ones
+    end the job.
     """
+    if not 0 <= scale <= PRODUCT_SCALE:
+        raise ValueError(f"a quotient has 0 to {PRODUCT_SCALE} decimals")
     a, b = a.cast(DECIMAL), b.cast(DECIMAL)
-    zero = F.lit(0).cast(DECIMAL)
-    close = F.round(a.try_cast(OPERAND) / F.nullif(b.try_cast(OPERAND), F.lit(0).cast(OPERAND)), scale)
-    return F.coalesce(close.cast(f"decimal(38,{scale})"), F.round(a / F.nullif(b, zero), scale).cast(f"decimal(38,{scale})"))
+    steps = scale // DIGITS + 1  # one digit more than asked for, at least
+
+    def parted(x: Column, divisor: Column) -> Column:
+        """Whole quotient and remainder: the quotient of two decimals has six decimals, its whole part is at most one too large."""
+        near = F.floor(x / divisor).cast("decimal(38,0)")
+
+        def settled(v: Column) -> Column:
+            over = v["rest"] < 0
+            return F.struct(
+                F.when(over, v["near"] - 1).otherwise(v["near"]).cast("decimal(38,0)").alias("whole"),
+                F.when(over, v["rest"] + divisor).otherwise(v["rest"]).cast(DECIMAL).alias("rest"),
+            )
+
+        return _with(near, lambda n: _with(F.struct(n.alias("near"), (x - (n * divisor).cast(DECIMAL)).cast(DECIMAL).alias("rest")), settled))
+
+    def quotient(x: Column) -> Column:
+        return _with(parted(x["size"], x["by"]), lambda q: decimals(x, q, q["rest"], [], steps))
+
+    def decimals(x: Column, q: Column, rest: Column, found: list[Column], left: int) -> Column:
+        if left:
+            more = parted((rest * 10**DIGITS).cast(DECIMAL), x["by"])
+            return _with(more, lambda d: decimals(x, q, d["rest"], [*found, d["whole"]], left - 1))
+        places = DIGITS * steps
+        kind = f"decimal({places},{places})"
+        fraction = F.lit(0).cast(kind)
+        for i, digits in enumerate(found, start=1):
+            fraction = (fraction + digits.cast(f"decimal({DIGITS},0)") * F.lit("1e-" + str(DIGITS * i)).cast(kind)).cast(kind)
+        return _rounded(x["negative"], q["whole"], fraction, scale)
+
+    parts = F.struct(((a < 0) != (b < 0)).alias("negative"), _size(a).alias("size"), _size(b).alias("by"))
+    return F.when(a.isNotNull() & (b != 0), _with(parts, quotient))
 
 
 def set_scale(a: Column, scale: int) -> Column:

@@ -103,6 +103,63 @@ def _(t):
     )
 
 
+# Amounts with four decimals of about 1, 10**15 and 10**30, as whole numbers of ten-thousandths; c has four decimals below 1.
+_UNITS = """(SELECT l_orderkey, l_linenumber, CAST(l_orderkey AS HUGEINT) * 12345 + l_partkey + 1 AS tiny, l_suppkey * 7 + 1234 AS c,
+    CASE WHEN l_linenumber % 2 = 0 THEN -1 ELSE 1 END AS turn FROM lineitem)"""
+
+
+def _said(whole: str, digits: int) -> str:
+    """SQL for the text of a whole number of ``10**-digits``."""
+    one = f"1{'0' * digits}::HUGEINT"
+    return f"""CASE WHEN {whole} < 0 THEN '-' ELSE '' END || CAST(abs({whole}) // {one} AS VARCHAR) || '.'
+        || lpad(CAST(abs({whole}) % {one} AS VARCHAR), {digits}, '0')"""
+
+
+def _units(t):
+    tiny = C("l_orderkey").cast("decimal(30,0)") * 12345 + C("l_partkey") + 1
+    turn = F.when(C("l_linenumber") % 2 == 0, -1).otherwise(1)
+    part = lambda units: (units.cast("decimal(30,0)") * F.lit("0.0001").cast("decimal(4,4)")).cast(nm.DECIMAL)
+    at = lambda size: (part(tiny) + nm.bd_literal("1" + "0" * size)).cast(nm.DECIMAL) * turn
+    return t.lineitem, part(tiny), part(C("l_suppkey") * 7 + 1234), at
+
+
+@query(
+    "num_05_products",
+    f"""SELECT l_orderkey, l_linenumber, {_said("turn * tiny * c", 8)} AS tiny, {_said("turn * (10000000000000000000::HUGEINT + tiny) * c", 8)} AS large,
+          {_said("turn * ((2 * (100000000000000000000000000000000::HUGEINT + tiny) * c + 10000) // 20000)", 4)} AS huge
+        FROM {_UNITS}""",
+)
+def _(t):
+    rows, tiny, c, at = _units(t)
+    turn = F.when(C("l_linenumber") % 2 == 0, -1).otherwise(1)
+    return rows.select(
+        "l_orderkey",
+        "l_linenumber",
+        nm.to_text(nm.bd_multiply(tiny * turn, c)).alias("tiny"),
+        nm.to_text(nm.bd_multiply(at(15), c)).alias("large"),
+        nm.to_text(nm.bd_multiply(at(28), c, 4)).alias("huge"),
+    )
+
+
+@query(
+    "num_06_quotients",
+    f"""SELECT l_orderkey, l_linenumber, {_said("turn * ((2 * tiny * 100000000 + c) // (2 * c))", 8)} AS tiny,
+          {_said("turn * ((2 * (10000000000000000000::HUGEINT + tiny) * 100000000 + c) // (2 * c))", 8)} AS large,
+          {_said("turn * ((2 * (10000000000000000000000000000000000::HUGEINT + tiny) + c * 1000) // (2 * c * 1000) )", 4)} AS huge
+        FROM {_UNITS}""",
+)
+def _(t):
+    rows, tiny, c, at = _units(t)
+    turn = F.when(C("l_linenumber") % 2 == 0, -1).otherwise(1)
+    return rows.select(
+        "l_orderkey",
+        "l_linenumber",
+        nm.to_text(nm.bd_divide(tiny * turn, c, 8)).alias("tiny"),
+        nm.to_text(nm.bd_divide(at(15), c, 8)).alias("large"),
+        nm.to_text(nm.bd_divide(at(30), nm.big_decimal(c * 10_000_000), 4)).alias("huge"),
+    )
+
+
 @query(
     "num_06_bd_divide",
     """SELECT c_custkey, CASE WHEN n > 0 THEN sign(cents) * ((2 * abs(cents) + n) // (2 * n)) / CAST(100 AS DOUBLE) END AS v

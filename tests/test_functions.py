@@ -1,7 +1,8 @@
 """Tables of inputs for the scalar functions, with NULL, empty, boundary and bad values."""
 
 import datetime as d
-from decimal import Decimal
+import random
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 from pyspark.errors import PySparkException
@@ -110,3 +111,35 @@ def test_dates(spark):
 def test_entry_id_keeps_all_digits(spark):
     made = st.entry_id(F.lit("S"), F.lit("x"), F.lit(3), A)
     assert values(spark, "a bigint", [7, 999999, 1234567], made) == ["Sx3000007", "Sx3999999", "Sx31234567"]
+
+
+def test_products_and_quotients_are_exact(spark):
+    """Against exact decimals: amounts of every size, rounded once, half up."""
+    rng = random.Random(1)
+    size = lambda most: rng.randrange(-(10 ** rng.randrange(1, most)), 10 ** rng.randrange(1, most))
+    rows = [(Decimal(size(24)) / 10_000, Decimal(size(15)) / 10_000) for _ in range(1500)]
+    rows += [
+        (Decimal(a), Decimal(b))
+        for a, b in (
+            ("0.1234", "0.1234"), ("1e15", "7"), ("0", "3"), ("0.0001", "1e29"), ("99999999999999999999999999999", "1e29"), ("9999.9999", "0.0001"),
+            ("0.9999", "0.9999"), ("2", "3"), ("-2", "3"), ("1", "8"), ("0.0005", "0.5"), ("-0.0005", "0.5"), ("1", "0"),
+        )
+    ]
+    rows += [(None, Decimal(1)), (Decimal(1), None)]
+    df = spark.createDataFrame(rows, "a decimal(38,4), b decimal(38,4)")
+    a, b = F.col("a"), F.col("b")
+    fits = F.abs(a.cast("double") * b.cast("double")) < 1e28
+    with localcontext() as context:
+        context.prec = 90
+        for scale in (0, 2, 4, 6, 8):
+            at = Decimal(1).scaleb(-scale)
+            for r in df.select("a", "b", nm.bd_divide(a, b, scale).alias("q"), F.when(fits, nm.bd_multiply(a, b, scale)).alias("p")).collect():
+                known = r["a"] is not None and r["b"] is not None
+                assert r["q"] == ((r["a"] / r["b"]).quantize(at, ROUND_HALF_UP) if known and r["b"] else None), (r, scale)
+                if r["p"] is not None or known and abs(r["a"] * r["b"]) < 10**27:
+                    assert r["p"] == (r["a"] * r["b"]).quantize(at, ROUND_HALF_UP), (r, scale)
+    large = spark.createDataFrame([(Decimal("1e30"), Decimal("7"))], "a decimal(38,4), b decimal(38,4)")
+    q, p = large.select(nm.bd_divide(a, b, 4), nm.bd_multiply(a, b, 4)).first()
+    assert (q, p) == (Decimal("142857142857142857142857142857.1429"), Decimal("7e30"))
+    with pytest.raises(Exception, match="cannot be represented"):
+        large.select(nm.bd_multiply(a, b)).collect()
