@@ -10,6 +10,7 @@ from settleflow.queries.registry import Tables, query
 from settleflow.schema import schema_of
 from settleflow.session import new_folder
 from settleflow.sources import (
+    BucketTable,
     append_by_name,
     export_parquet,
     fixed_rows,
@@ -274,3 +275,43 @@ def _(t: Tables):
     left = t.spark.read.parquet(before).select(F.lit(1).alias("a"), F.lit(0).alias("b"))
     right = t.spark.read.parquet(after).select(F.lit(0).alias("a"), F.lit(1).alias("b"))
     return left.union(right).agg(F.sum("a").cast("bigint").alias("before"), F.sum("b").cast("bigint").alias("after"))
+
+
+# --- keyed writes in place ----------------------------------------------------------------------
+
+_WIDTH = "(SELECT max(o_orderkey) // 64 + 1 FROM orders)"
+_CHANGED = f"""(SELECT l_orderkey AS k, max(l_extendedprice) AS price FROM lineitem
+    WHERE l_orderkey // {_WIDTH} IN (3, 40) AND l_orderkey % 5 = 0 GROUP BY l_orderkey)"""
+
+
+def _bucketed(t: Tables):
+    """Orders in 64 ranges of their keys, and the changes of a fifth of two ranges."""
+    width = t.orders.agg(F.expr("max(o_orderkey) div 64 + 1")).first()[0]
+    rows = t.orders.select(C("o_orderkey").alias("k"), C("o_totalprice").alias("price"))
+    table = BucketTable(t.spark, new_folder(t.spark, "buckets"), ["k"], rows.schema, by=F.expr(f"k div {width}L")).create(rows)
+    changes = t.lineitem.filter(F.expr(f"l_orderkey div {width}L IN (3, 40) AND l_orderkey % 5 = 0"))
+    return table, width, changes.groupBy(C("l_orderkey").alias("k")).agg(F.max("l_extendedprice").alias("price"))
+
+
+@query(
+    "snk_02_update_buckets",
+    f"""SELECT o_orderkey AS k, coalesce(price, o_totalprice) AS price,
+          o_orderkey // {_WIDTH} IN (SELECT k // {_WIDTH} FROM {_CHANGED}) AS replaced
+        FROM orders LEFT JOIN {_CHANGED} ON k = o_orderkey""",
+)
+def _(t: Tables):
+    table, width, changes = _bucketed(t)
+    replaced = table.update(changes)
+    return table.read().withColumn("replaced", F.expr(f"k div {width}L").isin(*replaced))
+
+
+@query(
+    "snk_03_upsert_buckets",
+    f"""SELECT o_orderkey AS k, coalesce(price, o_totalprice) AS price FROM orders LEFT JOIN {_CHANGED} ON k = o_orderkey
+        UNION ALL SELECT k + (SELECT max(o_orderkey) FROM orders), price FROM {_CHANGED}""",
+)
+def _(t: Tables):
+    table, _, changes = _bucketed(t)
+    last = t.orders.agg(F.max("o_orderkey")).first()[0]
+    table.upsert(changes.unionByName(changes.withColumn("k", C("k") + last)))
+    return table.read()

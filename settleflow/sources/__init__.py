@@ -1,5 +1,6 @@
 """Sources and sinks."""
 
+from settleflow.sources.buckets import BucketTable
 from settleflow.sources.delimited import read_delimited, read_lines
 from settleflow.sources.files import list_files, number_files
 from settleflow.sources.sinks import (
@@ -24,6 +25,7 @@ from settleflow.sources.tables import (
 )
 
 __all__ = [
+    "BucketTable",
     "append_by_name",
     "export_parquet",
     "fixed_rows",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -51,12 +52,15 @@ def stream_lines(
     max_files: int = FILES_PER_RUN,
     mask: str | None = None,
     archive_dir: str | None = None,
+    file: str | None = None,
+    recursive: bool = False,
 ) -> DataFrame:
-    """Lines of new files in column ``line``."""
-    reader = spark.readStream.option("maxFilesPerTrigger", max_files)
+    """Lines of new files in column ``line``, and the path of their file in ``file`` if it is named."""
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files).option("recursiveFileLookup", recursive)
     if mask:
         reader = reader.option("pathGlobFilter", mask)
-    return _archived(reader, archive_dir).text(folder).withColumnRenamed("value", "line")
+    lines = _archived(reader, archive_dir).text(folder)
+    return lines.select(F.col("value").alias("line"), *([F.col("_metadata.file_path").alias(file)] if file else []))
 
 
 def stream_load(
