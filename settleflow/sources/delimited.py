@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from settleflow.operators.rows import number_text
 from settleflow.schema import cast_to
+from settleflow.sources.records import read_records
+
 
 def _edge_marker(header: int, footer: int):
     """Marks the lines that can be edge lines of a file: the first and last few of a file split.
@@ -104,7 +106,7 @@ def read_delimited(
     """Read separated text with declared columns.
 
     A quote inside quotes is doubled unless another ``escape`` is named. ``multi_line`` reads line breaks inside
-    quotes as part of the value; a file is then one task, so split large ones when writing them.
+    quotes as part of the value (see :func:`settleflow.sources.records.read_records`); large files are read by many tasks.
 
     A bad row ends the job, unless ``corrupt`` or ``on_error="null"`` asks for it: then a bad field is NULL, and ``corrupt``
     names a column that holds the whole text of a row with a wrong field count or a bad field.
@@ -140,8 +142,8 @@ def read_delimited(
         "escape": escape or '"',
         "multiLine": str(multi_line).lower(),
     }
-    if multi_line and (header > 1 or footer > 0):
-        raise ValueError("lines cannot be cut off by number where values span lines")
+    if multi_line and (footer > 0 or line_sep not in (None, "\n") or not quote):
+        raise ValueError("where values span lines, lines end with a line feed, values are quoted and there is no footer")
     for kind, formats in patterns.items():
         if len(formats) > 1:
             raise ValueError("one date pattern per file: read the columns as text and use apply_schema")
@@ -149,10 +151,15 @@ def read_delimited(
             options[kind] = formats.pop()
     if corrupt:
         options["columnNameOfCorruptRecord"] = corrupt
-    if header > 1 or footer > 0:
-        lines = read_lines(spark, path, "line", header, footer, encoding, line_sep)
+    if multi_line or header > 1 or footer > 0:
+        if multi_line:
+            lines = read_records(spark, path, quote, escape, header, encoding).withColumnRenamed("record", "line")
+        else:
+            lines = read_lines(spark, path, "line", header, footer, encoding, line_sep)
         if remove_empty_rows:
             lines = lines.filter(F.trim("line") != "")
+        else:  # an empty line is a row of NULLs, not a bad one
+            lines = lines.select(F.when(F.trim("line") != "", F.col("line")).alias("line"))
         parsed = lines.select(F.from_csv("line", T.StructType(fields).simpleString(), options).alias("row"))
         rows = parsed.select("row.*")
     else:

@@ -1,5 +1,8 @@
 """Files and tables, read and written."""
 
+import random
+import duckdb
+import csv
 import gzip
 
 import pytest
@@ -146,3 +149,53 @@ def test_a_merge_goes_to_a_new_snapshot(spark, tmp_path):
     second = write_snapshot(merge_upsert(spark.read.parquet(first), source, ["k"]), str(tmp_path))
     assert spark.read.parquet(first).count() == 5
     assert bag(spark.read.parquet(second)) == [(k, "old" if k < 3 else "new") for k in range(8)]
+
+
+def _quoted_rows(rng, count):
+    word = lambda: "".join(rng.choice('ab "\n,;é') for _ in range(rng.randrange(0, 12)))
+    rows = [(str(n), word(), "\r\n" if n % 9 == 0 else word(), "x" * rng.randrange(0, 40)) for n in range(count)]
+    return rows + [(str(count), "\n" * 300, '"' * 50, "a\r\nb"), (str(count + 1), "", "", "")]
+
+
+@pytest.mark.parametrize("split", [48, 333, 4096, 1 << 27])
+def test_records_that_span_lines_at_every_split(spark, tmp_path, conf, split):
+    rng = random.Random(split)
+    written = {}
+    for name, end in (("a.csv", "\n"), ("b.csv", "\r\n"), ("c.csv", "\n")):
+        written[name] = _quoted_rows(rng, 150 if name != "c.csv" else 0)
+        with open(tmp_path / name, "w", newline="") as file:
+            writer = csv.writer(file, lineterminator=end)
+            writer.writerow(["n", "two", "three\nlines" if name == "a.csv" else "three", "four"])
+            writer.writerows(written[name])
+    schema = schema_of([{"name": n, "type": "id_String"} for n in ("n", "two", "three", "four")])
+    conf(files_maxPartitionBytes=str(split), files_openCostInBytes="0")
+    if split == 48:  # a header of several splits is not the reader's to skip
+        (tmp_path / "a.csv").unlink()
+        written.pop("a.csv")
+    got = read_delimited(spark, str(tmp_path), schema, header=1, multi_line=True, remove_empty_rows=False)
+    expected = [tuple(v if v else None for v in row) for rows in written.values() for row in rows]
+    assert bag(got) == sorted(expected, key=repr)
+    if split < 4096:
+        assert got.rdd.getNumPartitions() > len(written)  # several tasks a file
+
+
+def test_records_equal_those_of_another_reader(spark, tmp_path, conf):
+    rng = random.Random(5)
+    with open(tmp_path / "a.csv", "w", newline="") as file:
+        csv.writer(file, lineterminator="\n").writerows((str(n), "".join(rng.choice('a"\n,') for _ in range(rng.randrange(1, 30)))) for n in range(3000))
+    conf(files_maxPartitionBytes="2000", files_openCostInBytes="0")
+    schema = schema_of([{"name": n, "type": "id_String"} for n in ("n", "v")])
+    got = read_delimited(spark, str(tmp_path / "a.csv"), schema, multi_line=True)
+    other = duckdb.connect().execute(f"SELECT * FROM read_csv('{tmp_path}/a.csv', header=false, columns={{'n': 'VARCHAR', 'v': 'VARCHAR'}}, quote='\"', escape='\"', delim=',')")
+    assert bag(got) == sorted((tuple(row) for row in other.fetchall()), key=repr)
+
+
+def test_empty_lines_inside_and_between_records(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('1,"a\n\n\nb"\n\n2,c\n')
+    rows = read_delimited(spark, str(tmp_path), PAIR, multi_line=True, remove_empty_rows=False)
+    assert bag(rows) == sorted([(1, "a\n\n\nb"), (None, None), (2, "c")], key=repr)
+    assert bag(read_delimited(spark, str(tmp_path), PAIR, multi_line=True)) == [(1, "a\n\n\nb"), (2, "c")]
+    (tmp_path / "x.csv").write_text('1,"a\\"\nb"\n2,"c\\\\"\n')
+    assert bag(read_delimited(spark, str(tmp_path), PAIR, multi_line=True, escape="\\")) == [(1, 'a"\nb'), (2, "c\\")]
+    with pytest.raises(ValueError):
+        read_delimited(spark, str(tmp_path), PAIR, multi_line=True, footer=1)
