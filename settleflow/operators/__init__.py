@@ -1,7 +1,7 @@
 """Operators over flows (DataFrames)."""
 
 from settleflow.operators.dedup import cap_per_group, dup_rows, net_zero, uniq_rows
-from settleflow.operators.joins import lookup_join, lookup_rejects, matched, unmatched
+from settleflow.operators.joins import keep_lookup, lookup_join, lookup_rejects, matched, unmatched
 from settleflow.operators.keyjoin import hot_keys, key_join, salted_join
 from settleflow.operators.merge import link_ids, merge_cases, merge_update, merge_upsert, update_status
 from settleflow.operators.rows import (
@@ -37,6 +37,7 @@ __all__ = [
     "key_join",
     "line_rules",
     "link_ids",
+    "keep_lookup",
     "lookup_join",
     "lookup_rejects",
     "map_rows",

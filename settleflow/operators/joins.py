@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from settleflow.operators.dedup import uniq_rows
-from settleflow.operators.keyjoin import key_join, salted_join, same_keys
+from settleflow.operators.dedup import UNORDERED, uniq_rows
+from settleflow.operators.keyjoin import HOT_ROWS, key_join, salted_join, same_keys
 from settleflow.operators.rows import Expression, column_of
 
 
@@ -26,19 +26,29 @@ def lookup_join(
     match: str = "all",
     order_by: Sequence[Expression] | None = None,
     salts: int = 0,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join a lookup flow to the main flow.
 
     ``on`` pairs an expression over the main flow with a lookup column. ``how`` is ``"left"`` or
     ``"inner"``. With ``name`` every lookup column is called ``name_column`` in the result.
-    ``match="first"`` keeps one lookup row per key, the first by ``order_by``. ``salts`` above 1
-    spreads hot keys of either side ahead of the shuffle, see :func:`salted_join`.
+    ``match="first"`` keeps one lookup row per key, the first by ``order_by``, ``match="last"`` the last (by names of
+    columns). ``salts`` above 1 spreads keys with at least ``hot_rows`` rows on either side ahead of the shuffle, see
+    :func:`salted_join`. A lookup that serves many runs can be kept by key, see :func:`keep_lookup`.
     """
     if how not in ("left", "inner"):
         raise ValueError("how is 'left' or 'inner'")
     if not on:
         raise ValueError("a lookup needs join keys")
-    if match == "first":
+    if match not in ("all", "first", "last"):
+        raise ValueError("match is 'all', 'first' or 'last'")
+    if match == "last":
+        if not order_by or not all(isinstance(c, str) for c in order_by):
+            raise ValueError("the last match needs an order by names of columns")
+        keys = [key for _, key in on]
+        rest = [f.name for f in lookup.schema.fields if f.name not in {*order_by, *keys} and not isinstance(f.dataType, UNORDERED)]
+        lookup = uniq_rows(lookup, keys, [F.col(c).desc_nulls_last() for c in (*order_by, *rest)])
+    elif match == "first":
         lookup = uniq_rows(lookup, [key for _, key in on], order_by)
     renamed = {c: f"{name}_{c}" if name else c for c in lookup.columns}
     clash = set(main.columns) & set(renamed.values())
@@ -50,14 +60,26 @@ def lookup_join(
     keyed = main.withColumns({k: column_of(e) for k, (e, _) in zip(left, on)})
     columns = [*main.columns, *lookup.columns]
     if salts > 1:
-        joined = salted_join(keyed, lookup, left, right, how, salts)
-    elif match == "first":
+        joined = salted_join(keyed, lookup, left, right, how, salts, hot_rows)
+    elif match != "all":
         joined = key_join(keyed, lookup, left, right, how)
     else:
         joined = keyed.join(lookup, same_keys(left, right), how)
     return joined.select(*columns)
 
 
+def keep_lookup(lookup: DataFrame, keys: Sequence[str], name: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Keep a lookup as a table in sorted buckets of its keys, so that joins on these keys do not shuffle it again.
+
+    For lookups too big to broadcast that many runs read. A join shuffles only the main flow, to as many partitions as there
+    are buckets; Spark prefers that while ``buckets`` is no less than ``spark.sql.shuffle.partitions``. The table is
+    replaced if it is there; with ``path`` its files lie there.
+    """
+    writer = lookup.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return lookup.sparkSession.table(name)
+
+
 def _key_side(lookup: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """Distinct keys of a side that only decides a match, counted map-side before the shuffle."""
     names = [f"_r{i}" for i in range(len(keys))]

@@ -54,13 +54,17 @@ def merge_cases(
     keys: Sequence[str],
     cases: Sequence[tuple[Expression, Mapping[str, Expression]]],
     order_by: Sequence[Column | str] | None = None,
+    cols: Sequence[str] | None = None,
 ) -> DataFrame:
     """Update the target by the first case that holds, in one join for all cases.
 
     A case is a condition and ``column -> new value``; both may use target columns as ``t.x`` and
-    source columns as ``s.x``. Rows without a match, or without a true case, stay as they are.
+    source columns as ``s.x``. Rows without a match, or without a true case, stay as they are. ``cols`` names the source
+    columns the cases read, so that no other is shuffled and sorted.
     """
     _need_keys(keys)
+    if cols is not None:
+        source = _pruned(source, [*keys, *cols], order_by)
     clean = unique_source(source.filter(_has_keys(keys)), keys, order_by)
     left, right = with_slots(target, clean, keys, keys)
     left, right = left.alias("t"), right.alias("s")

@@ -21,6 +21,10 @@ def column_of(expression: Expression) -> Column:
     return F.expr(expression) if isinstance(expression, str) else expression
 
 
+#: Column that names the output a tagged row goes to.
+OUTPUT = "output"
+
+
 def map_rows(df: DataFrame, columns: Mapping[str, Expression | None] | None) -> DataFrame:
     """Project to ``name -> expression``; no expression takes the column of that name, no columns take all."""
     if not columns:
@@ -60,6 +64,34 @@ def route(
     return flows
 
 
+def tagged(
+    df: DataFrame,
+    outputs: Mapping[str, tuple[Expression | None, Mapping[str, Expression | None] | None]],
+    reject: str | None = None,
+) -> DataFrame:
+    """The flows of :func:`route` as one: a row per row and output, ``output`` and a struct of each output's columns.
+
+    Every condition is evaluated once and the input is read once however many outputs there are. A struct is NULL in the rows
+    of other outputs.
+    """
+    conditions = {name: F.lit(True) if c is None else F.coalesce(column_of(c), F.lit(False)) for name, (c, _) in outputs.items()}
+    projections = {name: columns for name, (_, columns) in outputs.items()}
+    if reject:
+        taken = F.lit(False)
+        for condition in conditions.values():
+            taken = taken | condition
+        conditions[reject], projections[reject] = ~taken, None
+    if OUTPUT in conditions:
+        raise ValueError(f"no output can be named {OUTPUT}")
+    tags = F.array(*[F.when(condition, F.lit(name)) for name, condition in conditions.items()])
+    rows = df.withColumn("_to", F.explode(F.filter(tags, lambda tag: tag.isNotNull())))
+    flows = []
+    for name, columns in projections.items():
+        fields = [F.col(n) if e is None else column_of(e).alias(n) for n, e in (columns or dict.fromkeys(df.columns)).items()]
+        flows.append(F.when(F.col("_to") == name, F.struct(*fields)).alias(name))
+    return rows.select(F.col("_to").alias(OUTPUT), *flows)
+
+
 def row_program(
     df: DataFrame, variables: Mapping[str, Expression], outputs: Mapping[str, Expression]
 ) -> DataFrame:

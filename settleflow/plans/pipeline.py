@@ -57,6 +57,7 @@ class SyncSpec:
     amount: str = "amount"
     rt: str = "rt"
     net_keys: Sequence[str] = field(default_factory=tuple)
+    cols: Sequence[str] | None = None  # source columns the cases read; all unless they are named
 
 
 def _parsed(lines: DataFrame, spec: EntrySpec) -> tuple[DataFrame, DataFrame]:
@@ -152,7 +153,7 @@ def post_sync(
 
     Staging is read by several outputs: buffer it when it is costly to compute. Nothing staged
     leaves every table as it is, but duplicate activity rows are set aside in a run with activity
-    files only too. Otherwise: duplicate activity rows are set aside,
+    files only too. Otherwise: duplicate activity rows are set aside and the others returned as ``activity``,
     waiting rows become settled, staging updates production by the first case that holds, templates
     get the ids of their entries, staging rows production lacks go to the merge table, and that
     table is loaded.
@@ -160,6 +161,7 @@ def post_sync(
     if staging.isEmpty():
         return {
             "duplicates": dup_rows(activity, list(spec.keys), spec.order_by),
+            "activity": uniq_rows(activity, list(spec.keys), spec.order_by),
             "staging": staging,
             "prod": prod,
             "templates": templates,
@@ -169,8 +171,9 @@ def post_sync(
         }
     keys = list(spec.keys)
     duplicates = dup_rows(activity, keys, spec.order_by)
+    once = uniq_rows(activity, keys, spec.order_by)
     settled = update_status(staging, "W", "S", spec.status_condition, spec.status)
-    updated = merge_cases(prod, settled, keys, spec.cases, spec.order_by)
+    updated = merge_cases(prod, settled, keys, spec.cases, spec.order_by, spec.cols)
     linked = link_ids(templates, settled, list(spec.template_keys), spec.id_col, spec.order_by)
     # The merge table holds the rows production lacks, so its load has nothing left to update.
     third = unmatched(settled, prod, keys)
@@ -178,6 +181,7 @@ def post_sync(
     loaded = _inserted(third, updated, turned, spec.net_keys or keys, spec.amount)
     return {
         "duplicates": duplicates,
+        "activity": once,
         "staging": settled,
         "templates": linked,
         "merge": truncate(third),

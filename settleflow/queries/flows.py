@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,7 @@ from settleflow.operators import (
     context_row,
     dup_rows,
     extract_fields,
+    keep_lookup,
     link_ids,
     lookup_join,
     lookup_rejects,
@@ -54,6 +57,8 @@ from settleflow.queries.inputs import (
 )
 from settleflow.queries.registry import Tables, query
 from settleflow.schema import apply_schema, schema_rules
+from settleflow.session import new_folder
+from settleflow.sources import read_route, write_routes
 
 C = F.col
 
@@ -185,13 +190,14 @@ def _(t: Tables):
 
 @query(
     "jn_01_lookup_left_salted",
-    """SELECT event_id, e.user_id, v.n FROM events e LEFT JOIN
-         (SELECT user_id, count(*) AS n FROM events WHERE user_id % 2 = 0 GROUP BY user_id) v ON e.user_id = v.user_id""",
+    """SELECT event_id, e.user_id, v.n FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 4 ELSE user_id END AS user_id FROM events) e
+       LEFT JOIN (SELECT user_id, count(*) AS n FROM events WHERE user_id % 2 = 0 GROUP BY user_id) v ON e.user_id = v.user_id""",
 )
 def _(t: Tables):
+    """A third of the rows has one key, which is spread over 16 tasks."""
     counts = t.events.filter("user_id % 2 = 0").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    rows = t.events.select("event_id", "user_id")
-    out = lookup_join(rows, counts, [("user_id", "user_id")], name="v", salts=16)
+    rows = t.events.select("event_id", F.when(C("event_id") % 3 == 0, 4).otherwise(C("user_id")).cast("bigint").alias("user_id"))
+    out = lookup_join(rows, counts, [("user_id", "user_id")], name="v", salts=16, hot_rows=100)
     return out.select("event_id", "user_id", C("v_n").alias("n"))
 
 
@@ -245,6 +251,31 @@ def _(t: Tables):
     return out.select("c_custkey", C("o_orderkey").alias("first_order"))
 
 
+@query(
+    "jn_05_lookup_last_match",
+    """SELECT c_custkey, o_orderkey AS last_order FROM customer LEFT JOIN
+         (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders)
+       ON c_custkey = o_custkey AND rn = 1""",
+)
+def _(t: Tables):
+    orders = t.orders.select("o_custkey", "o_orderdate", "o_orderkey")
+    out = lookup_join(t.customer.select("c_custkey"), orders, [("c_custkey", "o_custkey")], match="last", order_by=["o_orderdate", "o_orderkey"])
+    return out.select("c_custkey", C("o_orderkey").alias("last_order"))
+
+
+@query(
+    "jn_01_lookup_kept",
+    "SELECT l_orderkey, l_linenumber, o_orderstatus, o_totalprice FROM lineitem LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 3 <> 0) ON o_orderkey = l_orderkey",
+)
+def _(t: Tables):
+    """A lookup kept by key: the join reads its buckets as they are."""
+    buckets = max(16, int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = t.orders.filter("o_orderkey % 3 <> 0").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    kept = keep_lookup(rows, ["o_orderkey"], f"kept_{uuid.uuid4().hex}", buckets, new_folder(t.spark, "kept"))
+    out = lookup_join(t.lineitem.select("l_orderkey", "l_linenumber"), kept, [("l_orderkey", "o_orderkey")])
+    return out.select("l_orderkey", "l_linenumber", "o_orderstatus", "o_totalprice")
+
+
 @query("jn_06_constants", "SELECT o_orderkey, 7 AS ctx_loop, 'ST' AS ctx_kind FROM orders")
 def _(t: Tables):
     return with_context(t.orders.select("o_orderkey"), {"loop": F.lit(7), "kind": "'ST'"})
@@ -332,6 +363,38 @@ def _(t: Tables):
     return _routed(t)["rest"].select("o_orderkey", "o_orderstatus")
 
 
+@query(
+    "prj_04_routes_written",
+    """SELECT 'large' AS output, o_orderkey AS k, o_totalprice / 2 AS half, NULL AS day, 1 + 0 * o_orderkey AS n FROM orders WHERE o_totalprice > 250000
+       UNION ALL SELECT 'final', o_orderkey, NULL, strftime(o_orderdate, '%Y-%m-%d'), 1 FROM orders WHERE o_orderstatus = 'F'
+       UNION ALL SELECT 'rest', o_orderkey, o_totalprice, NULL, 1 FROM orders WHERE NOT (o_totalprice > 250000 OR o_orderstatus = 'F')
+       UNION ALL SELECT 'rows of ' || name, NULL, NULL, NULL, n FROM (
+         SELECT 'large' AS name, count(*) AS n FROM orders WHERE o_totalprice > 250000 UNION ALL
+         SELECT 'final', count(*) FROM orders WHERE o_orderstatus = 'F' UNION ALL
+         SELECT 'none', 0 UNION ALL
+         SELECT 'rest', count(*) FROM orders WHERE NOT (o_totalprice > 250000 OR o_orderstatus = 'F'))""",
+)
+def _(t: Tables):
+    """Outputs of different columns, written in one pass, and the counts of the manifest."""
+    path = new_folder(t.spark, "routes")
+    outputs = {
+        "large": ("o_totalprice > 250000", {"k": "o_orderkey", "half": "o_totalprice / 2"}),
+        "final": ("o_orderstatus = 'F'", {"k": "o_orderkey", "day": "date_format(o_orderdate, 'yyyy-MM-dd')"}),
+        "none": ("o_orderkey < 0", {"k": "o_orderkey"}),
+    }
+    manifest = write_routes(t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderdate"), outputs, path, reject="rest")
+    row = lambda name, **c: read_route(t.spark, path, name).select(
+        F.lit(name).alias("output"), C(c.get("k", "k")).alias("k"), c.get("half", F.lit(None).cast("double")).alias("half"),
+        c.get("day", F.lit(None).cast("string")).alias("day"), F.lit(1).cast("bigint").alias("n"),
+    )
+    flows = [row("large", half=C("half")), row("final", day=C("day")), row("none"), row("rest", k="o_orderkey", half=C("o_totalprice"))]
+    counts = manifest.select(
+        F.concat(F.lit("rows of "), "output").alias("output"), F.lit(None).cast("bigint").alias("k"), F.lit(None).cast("double").alias("half"),
+        F.lit(None).cast("string").alias("day"), C("rows").alias("n"),
+    )
+    return merge_flows(*flows, counts)
+
+
 @query(
     "prj_06_lookup_rejects",
     "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)",

@@ -331,6 +331,7 @@ SYNC = SyncSpec(
         ("s.status = 'S'", {"status": "s.status"}),
     ],
     template_keys=["k"],
+    cols=["rt", "amount", "status"],
 )
 
 
@@ -398,6 +399,16 @@ def _(t: Tables):
     return _synced(t, staged=False)["prod"].select("k", "status", "amount")
 
 
+@query(
+    "pip_12_activity_once",
+    """SELECT k, line, part, supp FROM (SELECT l_orderkey AS k, l_linenumber AS line, l_partkey AS part, l_suppkey AS supp,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag, l_extendedprice) AS rn FROM lineitem)
+       WHERE rn = 1""",
+)
+def _(t: Tables):
+    return _synced(t, staged=False)["activity"].select("k", "line", "part", "supp")
+
+
 # --- reports ---------------------------------------------------------------------------------
 
 NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",

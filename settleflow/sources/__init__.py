@@ -3,15 +3,18 @@
 from settleflow.sources.buckets import BucketTable
 from settleflow.sources.delimited import read_delimited, read_lines
 from settleflow.sources.files import list_files, number_files
+from settleflow.sources.records import read_records
 from settleflow.sources.sinks import (
     append_by_name,
     export_parquet,
     load_by_name,
+    read_route,
     truncate,
     write_delimited,
     write_groups,
     write_insert,
     write_jdbc,
+    write_routes,
     write_snapshot,
 )
 from settleflow.sources.tables import (
@@ -39,11 +42,14 @@ __all__ = [
     "read_lines",
     "read_mapping",
     "read_query",
+    "read_records",
+    "read_route",
     "read_table",
     "truncate",
     "write_delimited",
     "write_groups",
     "write_insert",
     "write_jdbc",
+    "write_routes",
     "write_snapshot",
 ]

@@ -7,11 +7,11 @@ from collections.abc import Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from settleflow.operators.rows import observe_rows
+from settleflow.operators.rows import OUTPUT, Expression, observe_rows, tagged
 from settleflow.sources.tables import GROUP
 
 # What a failed job raises: a Spark error, or the Java error it was not turned into one from.
@@ -51,6 +51,33 @@ def write_snapshot(df: DataFrame, root: str) -> str:
     return path
 
 
+def write_routes(
+    df: DataFrame,
+    outputs: Mapping[str, tuple[Expression | None, Mapping[str, Expression | None] | None]],
+    path: str,
+    reject: str | None = None,
+) -> DataFrame:
+    """Write all outputs of :func:`settleflow.operators.rows.route` in one pass; ``output, path, rows`` of each.
+
+    One scan of the input and no shuffle: rows are tagged with their outputs and written to a partition per output.
+    The counts are taken as the rows pass. Read an output with :func:`read_route`.
+    """
+    spark, names = df.sparkSession, [*outputs, *([reject] if reject else [])]
+    seen = Observation()
+    rows = tagged(df, outputs, reject)
+    counted = rows.observe(seen, *[F.count_if(F.col(OUTPUT) == name).alias(name) for name in names])
+    counted.write.partitionBy(OUTPUT).parquet(path)
+    for name in names:
+        if not seen.get[name]:  # an output without rows still has its columns
+            rows.limit(0).drop(OUTPUT).coalesce(1).write.parquet(f"{path}/{OUTPUT}={name}")
+    return spark.createDataFrame([(n, f"{path}/{OUTPUT}={n}", seen.get[n]) for n in names], "output string, path string, rows long")
+
+
+def read_route(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One output that :func:`write_routes` wrote; the files of the others are not opened."""
+    return spark.read.parquet(f"{path}/{OUTPUT}={name}").select(f"`{name}`.*")
+
+
 def write_groups(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write one partition per group. Rows are gathered by group, a group too big for one task is split."""
     df.hint("rebalance", F.col(GROUP)).write.mode(mode).partitionBy(GROUP).parquet(path)

@@ -297,3 +297,61 @@ def test_free_sql_is_unwrapped(spark, target):
 def test_unknown_routine_fails_at_analysis(target):
     with pytest.raises(PySparkException):
         target.select(F.expr("no_such_routine(x)"))
+
+
+def test_routes_are_written_in_one_pass(spark, tmp_path):
+    from settleflow.operators.rows import tagged
+    from settleflow.sources import read_route, write_routes
+
+    (tmp_path / "in").mkdir()
+    spark.range(100).selectExpr("id AS a", "CASE WHEN id % 4 = 0 THEN NULL ELSE id % 3 END AS b").write.mode("overwrite").parquet(str(tmp_path / "in"))
+    rows = spark.read.parquet(str(tmp_path / "in"))
+    outputs = {"one": ("b = 1", {"x": "a * 2", "b": None}), "large": ("a >= 50", None), "never": ("a < 0", {"y": "a"})}
+    flows = route(rows, outputs, reject="rest")
+    manifest = {r["output"]: r for r in write_routes(rows, outputs, str(tmp_path / "out"), reject="rest").collect()}
+    assert set(manifest) == {"one", "large", "never", "rest"}
+    for name, flow in flows.items():
+        got = read_route(spark, str(tmp_path / "out"), name)
+        assert got.columns == flow.columns and bag(got) == bag(flow)
+        assert manifest[name]["rows"] == flow.count() and manifest[name]["path"].endswith(f"output={name}")
+    plan = tagged(rows, outputs, "rest")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    opened = read_route(spark, str(tmp_path / "out"), "one").inputFiles()
+    assert opened and all("output=one" in f for f in opened)
+
+
+def test_the_last_match_is_the_first_of_the_reverse_order(spark):
+    main = spark.createDataFrame([(1,), (2,), (3,), (None,)], "k long")
+    lookup = spark.createDataFrame([(1, "a", 1), (1, "b", 1), (1, None, 2), (2, "c", None), (2, "d", None), (None, "e", 1)], "k2 long, v string, o int")
+    joined = lambda match: bag(lookup_join(main, lookup, [("k", "k2")], match=match, order_by=["o"]).select("k", "v"))
+    assert joined("last") == sorted([(1, None), (2, "d"), (3, None), (None, None)], key=repr)
+    assert joined("first") == sorted([(1, "a"), (2, "c"), (3, None), (None, None)], key=repr)
+    for wrong in ({"match": "last"}, {"match": "last", "order_by": [F.col("o").desc()]}, {"match": "some"}):
+        with pytest.raises(ValueError):
+            lookup_join(main, lookup, [("k", "k2")], **wrong)
+
+
+def test_a_kept_lookup_is_not_shuffled_again(spark, tmp_path, conf):
+    from settleflow.operators import keep_lookup
+
+    rows = spark.range(1000).selectExpr("id % 300 AS k", "id AS v")
+    kept = keep_lookup(spark.range(500).selectExpr("id AS key", "id * 2 AS w"), ["key"], "kept_for_a_test", 16, str(tmp_path / "kept"))
+    conf(autoBroadcastJoinThreshold="-1")
+    joined = lookup_join(rows, kept, [("k", "key")])
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "kept_for_a_test" in plan
+    assert bag(joined) == sorted(((i % 300, i, i % 300, i % 300 * 2) for i in range(1000)), key=repr)
+    spark.sql("DROP TABLE kept_for_a_test")
+
+
+def test_a_hot_key_is_salted(spark):
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 4 ELSE id END AS k", "id AS v")
+    lookup = spark.range(100).selectExpr("id AS k2", "id * 2 AS w")
+    joined = lookup_join(rows, lookup, [("k", "k2")], salts=8, hot_rows=500)
+    assert bag(joined) == bag(lookup_join(rows, lookup, [("k", "k2")]))
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    assert "_salt" in plan
+    from settleflow.operators.keyjoin import hot_keys
+    from pyspark.sql import types as T
+
+    assert hot_keys(rows, ["k"], [T.LongType()], 500).count() == 1 and hot_keys(rows, ["k"], [T.LongType()], 5000).count() == 0
