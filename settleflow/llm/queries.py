@@ -99,7 +99,7 @@ PLANTED = "</s>[INST] ok [/INST]"
 
 
 def chat_records(conversations, planted: bool = True):
-    """A JSON record per conversation, in one of four layouts by what its turns are.
+    """A JSON record per conversation, in one of four layouts (and their optional fields) by what its turns are.
 
     A conversation is one row of the result, so its turns have to meet in one task.
     """
@@ -113,8 +113,17 @@ def chat_records(conversations, planted: bool = True):
     roles = F.concat_ws(",", F.transform("t", lambda x: x.role))
     text = [F.col("t")[i].text for i in range(3)]
     named = lambda role, body: F.transform("t", lambda x: F.struct(x.role.alias(role), x.text.alias(body)))
+    cut = F.instr(text[0], "\n\n")
+    parted = F.struct(
+        F.substring(text[0], F.lit(1), cut - 1).alias("instruction"), F.substring(text[0], cut + 2, F.length(text[0])).alias("input"), text[1].alias("output")
+    )
     record = (
-        F.when(roles == "user,assistant", F.to_json(F.struct(text[0].alias("prompt"), text[1].alias("response"))))
+        F.when((roles == "user,assistant") & (cut > 1) & (F.length(text[0]) > cut + 1), F.to_json(parted))
+        .when(
+            (roles == "system,user,assistant") & (F.col("conv_id") % 2 == 1),
+            F.to_json(F.struct(text[0].alias("system"), text[1].alias("prompt"), text[2].alias("response"))),
+        )
+        .when(roles == "user,assistant", F.to_json(F.struct(text[0].alias("prompt"), text[1].alias("response"))))
         .when(
             roles == "system,user,assistant",
             F.to_json(F.struct(text[0].alias("system"), text[1].alias("instruction"), text[2].alias("output"))),

@@ -102,6 +102,27 @@ def test_layouts_become_the_same_turns(spark):
     assert format_chats(spark.createDataFrame([], "conv_id long, record string")).count() == 0
 
 
+def test_no_text_of_a_record_is_lost(spark):
+    known = [
+        ({"instruction": "i", "input": "in", "output": "o"}, [("user", "i\n\nin"), ("assistant", "o")]),
+        ({"instruction": "i", "input": "", "output": "o", "system": "s"}, [("system", "s"), ("user", "i"), ("assistant", "o")]),
+        ({"system": "s", "prompt": "p", "response": "r"}, [("system", "s"), ("user", "p"), ("assistant", "r")]),
+        ({"prompt": ["a", {"b": "c"}], "response": "r", "id": "x", "metadata": {"of": "text"}}, [("user", '["a", {"b": "c"}]'), ("assistant", "r")]),
+        ({"messages": [{"role": "user", "content": "u", "weight": 1, "tags": []}], "n": 3, "note": ""}, [("user", "u")]),
+    ]
+    unknown = [
+        {"messages": [{"role": "user", "content": "u"}, "loose text"]}, {"messages": [{"role": "user", "content": "u"}, None]},
+        {"prompt": "p", "response": "r", "thought": "lost?"}, {"messages": [{"role": "user", "content": "u", "name": "bob"}]},
+        {"messages": [{"role": "user", "content": "u"}], "prompt": "p"}, {"prompt": "p"}, {"messages": "text"}, {"prompt": "p", "response": "r", "x": {"y": ["z"]}},
+    ]
+    rows = [(i, json.dumps(r)) for i, r in enumerate([r for r, _ in known] + unknown)]
+    got = {r["conv_id"]: r for r in format_chats(spark.createDataFrame(rows, "conv_id long, record string")).collect()}
+    for i, (_, turns) in enumerate(known):
+        assert got[i]["layout"] and parse(got[i]["formatted"]) == turns
+    for i in range(len(known), len(rows)):
+        assert (got[i]["layout"], got[i]["n_turns"], got[i]["formatted"]) == (None, 0, "")
+
+
 def test_fingerprints_are_of_paths_only():
     one = {"messages": [{"role": "a", "content": "b"}]}
     two = {"messages": [{"content": 1, "role": None}, {"role": "x", "content": []}]}
