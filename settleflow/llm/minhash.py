@@ -19,6 +19,8 @@ SHINGLE = 5
 PERMUTATIONS, ROWS = 64, 4
 #: Followers in a shingle that a set is tried on before the rest is compared in full.
 TRIES = 24
+#: Rows of a shingle that are ordered together to find followers, about; a frequent shingle has several such parts.
+CHUNK = 128
 
 
 def permutations(count: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
@@ -149,11 +151,11 @@ def _prefix_rows(members: DataFrame, texts: DataFrame, percent: int) -> DataFram
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """Prefix rows whose shingle several components have, with the most frequent of these in ``_main``."""
+    """Prefix rows whose shingle several components have, with the most frequent of these in ``_main`` and all its rows in ``_rows``."""
     main = written(
         rows.groupBy("_token", "_comp").agg(F.count(F.lit(1)).alias("_c")).groupBy("_token")
-        .agg(F.max_by("_comp", F.struct("_c", "_comp")).alias("_main"), F.count(F.lit(1)).alias("_comps"))
-        .where("_comps > 1").select(F.col("_token").alias("_t"), "_main"),
+        .agg(F.max_by("_comp", F.struct("_c", "_comp")).alias("_main"), F.count(F.lit(1)).alias("_comps"), F.sum("_c").alias("_rows"))
+        .where("_comps > 1").select(F.col("_token").alias("_t"), "_main", "_rows"),
         "near-main", narrow=True,
     )
     return written(rows.join(main, F.col("_token") == F.col("_t")).drop("_t"), "near-shared")
@@ -171,20 +173,34 @@ def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
 
 
 def _neighbours(shared: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each row with the ``TRIES`` rows that follow it in its shingle, ordered by a hash of both."""
-    order = Window.partitionBy("_token").orderBy(F.xxhash64("_id", "_token"), "_id")
+    """Pairs of each row with the ``TRIES`` rows that follow it in its shingle, ordered by a hash of both.
+
+    A frequent shingle is dealt into parts of about ``CHUNK`` rows, so that no task orders all of it; a second round with
+    other parts joins what the first leaves in different ones.
+    """
     row = F.struct("_id", "_comp", "_n", "_at")
-    ahead = F.array(*[F.lead(row, i).over(order) for i in range(1, TRIES + 1)])
-    rows = shared.select(row.alias("_one"), ahead.alias("_ahead"))
-    near = F.filter("_ahead", lambda x: x.isNotNull() & _close(F.col("_one"), x, percent))
-    return _untested(rows.select("_one", F.explode(near).alias("_two")), tested)
+    parts = F.ceil(F.col("_rows") / CHUNK)
+    found = []
+    for turn in (0, 1):
+        dealt = shared.withColumn("_part", F.pmod(F.xxhash64("_id", "_token", F.lit(turn)), parts))
+        order = Window.partitionBy("_token", "_part").orderBy(F.xxhash64(F.lit(turn), "_token", "_id"), "_id")
+        ahead = F.array(*[F.lead(row, i).over(order) for i in range(1, TRIES + 1)])
+        rows = (dealt.where(parts > 1) if turn else dealt).select(row.alias("_one"), ahead.alias("_ahead"))
+        near = F.filter("_ahead", lambda x: x.isNotNull() & _close(F.col("_one"), x, percent))
+        found.append(rows.select("_one", F.explode(near).alias("_two")))
+    return _untested(found[0].unionByName(found[1]), tested)
 
 
 def _crossing(shared: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """Pairs of rows outside the most frequent component of their shingle with all rows of other components."""
+    """Pairs of rows outside the most frequent component of their shingle with all rows of other components.
+
+    Sets of sizes too different to be similar do not meet: sizes lie in classes, of which neighbours alone can be similar.
+    """
     row = F.struct("_id", "_comp", "_n", "_at")
-    some = shared.where("_comp <> _main").select("_token", row.alias("_one"))
-    pairs = some.join(shared.select("_token", row.alias("_two")), "_token")
+    size = F.floor(F.log("_n") / F.log(F.lit(100.5 / percent))).cast("int")
+    near = F.explode(F.array(size - 1, size, size + 1)).alias("_size")
+    some = shared.where("_comp <> _main").select("_token", row.alias("_one"), near)
+    pairs = some.join(shared.select("_token", row.alias("_two"), size.alias("_size")), ["_token", "_size"])
     return _untested(pairs.where(_close(F.col("_one"), F.col("_two"), percent)), tested)
 
 

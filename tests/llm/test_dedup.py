@@ -117,6 +117,25 @@ def test_near_copies_match_brute_force(spark):
     assert got == near_by_brute_force(rows)
 
 
+def test_a_frequent_shingle_in_parts(spark, monkeypatch):
+    """Many texts that share a passage, with groups of copies of any size: parts and classes of sizes lose no link."""
+    from settleflow.llm import minhash
+
+    monkeypatch.setattr(minhash, "CHUNK", 3)
+    monkeypatch.setattr(minhash, "TRIES", 2)
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    passage = [word() for _ in range(40)]
+    rows = []
+    for _ in range(25):
+        own = [word() for _ in range(rng.randrange(4, 30))]
+        for _ in range(rng.randrange(1, 6)):
+            edited = [w if rng.random() > 0.03 else word() for w in own]
+            rows.append((len(rows), " ".join(edited + passage[: rng.choice([36, 40])])))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in near_copies(table(spark, rows)).collect()}
+    assert got == near_by_brute_force(rows)
+
+
 def test_near_copies_without_ids_or_rows(spark):
     text = "a b c d e f g h"
     rows = [(None, text), (None, text), (2, text), (1, text), (1, text), (1, "quite another text with seven words")]
