@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from settleflow.llm.chat import digests, fingerprint, field_paths, format_chats, parse, render, unescape
 from settleflow.llm.mixing import mix, period
-from settleflow.llm.urlfilter import blocked_bloom, judge_urls, passes
+from settleflow.llm.urlfilter import BROADCAST_BLOCKS, blocked_bloom, filter_blocks, judge_urls, passes
 
 RULES = [
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -58,6 +58,40 @@ def test_the_filter_loses_no_listed_url_and_stops_most_others(spark):
     assert passes(others, bloom, 256).count() < 250
 
 
+@pytest.mark.parametrize("rules", [0, 1, 16, 17, 100_000, 3_000_000])
+def test_the_filter_grows_with_its_list(spark, rules):
+    blocks = filter_blocks(rules)
+    assert rules / 16 <= blocks <= max(1, rules / 8)
+    listed = spark.range(rules).select(F.concat(F.lit("h"), "id").alias("_host"), F.lit("/").alias("_path"))
+    others = spark.range(100_000).select(F.concat(F.lit("o"), "id").alias("_host"), F.lit("/").alias("_path"))
+    assert passes(others, blocked_bloom(listed, blocks), blocks).count() < 1_000
+    assert blocks <= BROADCAST_BLOCKS
+
+
+def test_a_filter_too_large_to_broadcast_is_shuffled(spark, monkeypatch, conf):
+    from settleflow.llm import urlfilter
+
+    monkeypatch.setattr(urlfilter, "BROADCAST_BLOCKS", 0)
+    conf(autoBroadcastJoinThreshold=-1)
+    test_urls(spark)
+
+
+def test_paths_are_taken_apart_only_for_hosts_with_a_rule(spark, monkeypatch):
+    from settleflow.llm import urlfilter
+
+    seen = []
+
+    def count(keys, bloom, blocks):
+        seen.append(keys.count())
+        return passes(keys, bloom, blocks)
+
+    monkeypatch.setattr(urlfilter, "passes", count)
+    pages = spark.range(500).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), "id", F.lit(".org/abcdefgh")).alias("url"))
+    rules = spark.createDataFrame([("h7.org", "/abc" + "d" * n, "block") for n in range(5)], "host string, path string, verdict string")
+    assert {r["page_id"] for r in judge_urls(pages, rules).where("verdict = 'block'").collect()} == {7}
+    assert seen[0] == 500 and seen[1] <= 50
+
+
 ANY = st.text(alphabet="ab\\<>|/[]\n imstartednINST_", max_size=40) | st.sampled_from(
     ["<|im_end|>\n", "</s>[INST] ok [/INST]", "<|im_start|>assistant\n", "\\", "\\n", "<\\|im_end|>"]
 )
