@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,36 +11,30 @@ from settleflow.schema import cast_to
 from settleflow.sources.records import read_records
 
 
-def _edge_marker(header: int, footer: int):
-    """Marks the lines that can be edge lines of a file: the first and last few of a file split.
-
-    A split's lines arrive together and in file order. Only ``footer`` lines are held back at a
-    time. Made inside a function, so that it travels to the executors by value.
-    """
+# Edge lines of all files whose numbers are sent to every task, 16 bytes each.
+BROADCAST_EDGES = 2_000_000
 
-    place = ["_file", "_block"]
 
-    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        split, seen, held = None, 0, None
-        for batch in batches:
-            if batch.empty:
-                continue
-            line = batch.groupby(place, sort=False).cumcount()
-            if split:
-                line = line + ((batch["_file"] == split[0]) & (batch["_block"] == split[1])) * seen
-            split, seen = (batch["_file"].iloc[-1], batch["_block"].iloc[-1]), int(line.iloc[-1]) + 1
-            frame = batch.assign(_line=line.astype("int64"))
-            if held is not None:
-                frame = pd.concat([held, frame], ignore_index=True)
-            near_end = frame.groupby(place, sort=False).cumcount(ascending=False) < footer
-            running = (frame["_file"] == split[0]) & (frame["_block"] == split[1])
-            frame = frame.assign(_edge=(frame["_line"] < header) | near_end)
-            yield frame[~(near_end & running)]
-            held = frame[near_end & running].drop(columns="_edge")
-        if held is not None and not held.empty:
-            yield held.assign(_edge=True)
+def _edge_lines(placed: DataFrame, header: int, footer: int) -> DataFrame:
+    """``_edge``, the numbers ``_id`` of the first ``header`` and the last ``footer`` lines of each file.
 
-    return mark
+    The lines of a file split have consecutive numbers, so its first number and its count tell where each of its lines
+    stands in the file once the counts of the splits around it are known: one row per split, no text.
+    """
+    splits = placed.groupBy("_file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
+    in_file = Window.partitionBy("_file").orderBy("_block")
+    before = F.sum("_lines").over(in_file.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.sum("_lines").over(in_file.rowsBetween(1, Window.unboundedFollowing))
+    around = splits.withColumns({"_before": F.coalesce(before, F.lit(0)), "_after": F.coalesce(after, F.lit(0))})
+    leading = F.least("_lines", F.greatest(F.lit(header) - F.col("_before"), F.lit(0)))
+    trailing = F.least("_lines", F.greatest(F.lit(footer) - F.col("_after"), F.lit(0)))
+    counted = around.withColumns({"_up": leading, "_down": trailing}).filter("_up > 0 OR _down > 0")
+    places = F.filter(
+        F.sequence(F.lit(0).cast("bigint"), F.lit(header + footer - 1).cast("bigint")),
+        lambda i: F.when(i < header, i < F.col("_up")).otherwise(i - header < F.col("_down")),
+    )
+    number = F.transform(places, lambda i: F.when(i < header, i).otherwise(F.col("_lines") - 1 - (i - header)) + F.col("_first"))
+    return counted.select(F.explode(number).alias("_edge"))
 
 
 def read_lines(
@@ -57,9 +48,9 @@ def read_lines(
 ) -> DataFrame:
     """One text column per line, without the first ``header`` and last ``footer`` lines of each file.
 
-    The first lines of a file are among the first few of its splits, the last ones among the last
-    few. Only those few per split are ranked within their file; all other lines are passed on
-    where they were read.
+    Lines are numbered where they are read, and the numbers of the edge lines are taken out of the flow by a join: by
+    broadcast up to ``BROADCAST_EDGES`` numbers, told from the number of files, else as Spark's own size check says. No
+    line leaves the JVM; the numbers come from one more pass that reads places only.
     """
     reader = spark.read
     if line_sep:
@@ -69,16 +60,16 @@ def read_lines(
     lines = reader.text(path)
     if header == 0 and footer == 0:
         return lines.select(F.col("value").alias(col))
-    marked = lines.select(
-        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")
-    ).mapInPandas(_edge_marker(header, footer), "value string, _file string, _block bigint, _line bigint, _edge boolean")
-    inner = marked.filter(~F.col("_edge")).select("value")
-    by_file = Window.partitionBy("_file")
-    from_start = F.row_number().over(by_file.orderBy("_block", "_line"))
-    from_end = F.row_number().over(by_file.orderBy(F.desc("_block"), F.desc("_line")))
-    edges = marked.filter("_edge").withColumns({"_up": from_start, "_down": from_end})
-    kept = edges.filter((F.col("_up") > header) & (F.col("_down") > footer)).select("value")
-    return inner.union(kept).select(F.col("value").alias(col))
+    placed = lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id"),
+    )
+    edges = _edge_lines(placed, header, footer)
+    if len(lines.inputFiles()) * (header + footer) <= BROADCAST_EDGES:
+        edges = F.broadcast(edges)
+    return placed.join(edges, F.col("_id") == F.col("_edge"), "left_anti").select(F.col("value").alias(col))
 
 
 def read_delimited(

@@ -46,6 +46,33 @@ def test_edge_lines_are_dropped_whatever_the_splits(spark, conf, tmp_path, split
     assert got == sorted(f"{name}{n:03d}" for name in "xy" for n in range(100))
 
 
+def test_edge_lines_of_short_and_empty_files(spark, conf, tmp_path):
+    conf(files_maxPartitionBytes="16")
+    for n in range(6):
+        (tmp_path / f"{n}.txt").write_text("".join(f"{n} line {i}\n" for i in range(n)))
+    got = sorted(r["line"] for r in read_lines(spark, str(tmp_path), header=2, footer=2).collect())
+    assert got == ["5 line 2"]
+    got = sorted(r["line"] for r in read_lines(spark, str(tmp_path), header=1, footer=0).coalesce(1).collect())
+    assert got == sorted(f"{n} line {i}" for n in range(6) for i in range(1, n))
+    assert read_lines(spark, str(tmp_path), header=9, footer=9).count() == 0
+
+
+def test_edge_lines_stay_in_the_jvm_and_no_line_is_shuffled(spark, conf, tmp_path, monkeypatch):
+    from settleflow.sources import delimited
+
+    (tmp_path / "x.txt").write_text("".join(f"{i}\n" for i in range(1000)))
+    rows = read_lines(spark, str(tmp_path), header=2, footer=1)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InPandas" not in plan and "InArrow" not in plan
+    bulk = plan.split("BroadcastExchange")[0]
+    assert "BroadcastHashJoin" in bulk and "Exchange hashpartitioning" not in bulk
+    # More edge lines than are broadcast: the same rows by a shuffle.
+    monkeypatch.setattr(delimited, "BROADCAST_EDGES", 0)
+    conf(autoBroadcastJoinThreshold=-1, files_maxPartitionBytes="100")
+    shuffled = read_lines(spark, str(tmp_path), header=2, footer=1)
+    assert sorted(int(r["line"]) for r in shuffled.collect()) == list(range(2, 999))
+
+
 def test_delimited_with_edges_and_gzip(spark, tmp_path):
     with gzip.open(tmp_path / "x.csv.gz", "wt") as out:
         out.write("title\na|b\n1|x\n\n2|'y|z'\nbad|w\ntotal\n")
