@@ -37,15 +37,22 @@ def _pruned(source: DataFrame, cols: Sequence[str], order_by: Sequence[Column |
     return source.select(*dict.fromkeys([*cols, *(order_by or ())]))
 
 
+def _seen(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Up to two rows per key, numbered in ``_rank``: enough, per map task too, to see that a key repeats."""
+    window = Window.partitionBy(*keys).orderBy(*keys)
+    return source.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= 2)
+
+
+def _once(rank: Column) -> Column:
+    """True, or the end of the job at the second row of a key."""
+    return F.when(rank > 1, F.raise_error(F.lit("merge source has a repeated key"))).otherwise(F.lit(True))
+
+
 def unique_source(source: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] | None = None):
     """One row per key, by ``order_by`` or because there is no more than one."""
     if order_by:
         return uniq_rows(source, keys, order_by)
-    # Two rows per key and map task are enough to see that a key repeats.
-    window = Window.partitionBy(*keys).orderBy(*keys)
-    seen = source.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= 2)
-    repeated = F.raise_error(F.lit("merge source has a repeated key"))
-    return seen.filter(F.when(F.col("_rank") > 1, repeated).otherwise(F.lit(True))).drop("_rank")
+    return _seen(source, keys).filter(_once(F.col("_rank"))).drop("_rank")
 
 
 def merge_cases(
@@ -55,17 +62,23 @@ def merge_cases(
     cases: Sequence[tuple[Expression, Mapping[str, Expression]]],
     order_by: Sequence[Column | str] | None = None,
     cols: Sequence[str] | None = None,
+    check: str = "source",
 ) -> DataFrame:
     """Update the target by the first case that holds, in one join for all cases.
 
     A case is a condition and ``column -> new value``; both may use target columns as ``t.x`` and
     source columns as ``s.x``. Rows without a match, or without a true case, stay as they are. ``cols`` names the source
-    columns the cases read, so that no other is shuffled and sorted.
+    columns the cases read, so that no other is shuffled and sorted. Without an order a repeated source key ends the job;
+    with ``check="matched"`` only if the target has the key.
     """
     _need_keys(keys)
+    if check not in ("source", "matched"):
+        raise ValueError("check is 'source' or 'matched'")
     if cols is not None:
         source = _pruned(source, [*keys, *cols], order_by)
-    clean = unique_source(source.filter(_has_keys(keys)), keys, order_by)
+    known = source.filter(_has_keys(keys))
+    late = check == "matched" and not order_by
+    clean = _seen(known, keys) if late else unique_source(known, keys, order_by)
     left, right = with_slots(target, clean, keys, keys)
     left, right = left.alias("t"), right.alias("s")
     on = same_keys([*[f"t.{k}" for k in keys], LEFT_SLOT], [*[f"s.{k}" for k in keys], RIGHT_SLOT])
@@ -78,7 +91,10 @@ def merge_cases(
             new = column_of(changes[name]) if name in changes else old
             value = value.when(hit & column_of(condition), new.cast(target.schema[name].dataType))
         columns.append((value.otherwise(old) if any(name in c for _, c in cases) else old).alias(name))
-    return left.join(right, on, "left").select(*columns)
+    joined = left.join(right, on, "left")
+    if late:
+        joined = joined.filter(_once(F.coalesce(F.col("s._rank"), F.lit(1))))
+    return joined.select(*columns)
 
 
 def merge_update(
@@ -87,12 +103,13 @@ def merge_update(
     keys: Sequence[str],
     set_cols: Sequence[str] | None = None,
     order_by: Sequence[Column | str] | None = None,
+    check: str = "source",
 ) -> DataFrame:
     """Set ``set_cols`` (all non-key columns the source has) of matching rows, NULLs included."""
     _need_keys(keys)
     names = set_cols or [c for c in source.columns if c in target.columns and c not in keys]
     source = _pruned(source, [*keys, *names], order_by)
-    return merge_cases(target, source, keys, [(F.lit(True), {c: F.col(f"s.{c}") for c in names})], order_by)
+    return merge_cases(target, source, keys, [(F.lit(True), {c: F.col(f"s.{c}") for c in names})], order_by, check=check)
 
 
 def merge_upsert(

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from settleflow.functions import settlement, text
 from settleflow.operators.dedup import dup_rows, net_zero, uniq_rows
-from settleflow.operators.joins import matched, unmatched
+from settleflow.operators.joins import unmatched
 from settleflow.operators.keyjoin import key_join
 from settleflow.operators.merge import link_ids, merge_cases, merge_update, update_status
 from settleflow.operators.rows import Expression, line_rules, split_lines, split_rejects, with_vars
@@ -110,6 +110,7 @@ def final_load(
     rt: str = "rt",
     net_keys: Sequence[str] | None = None,
     order_by: Sequence[Column | str] | None = None,
+    scale: int = 4,
 ) -> dict[str, DataFrame]:
     """Bring the merge table into production.
 
@@ -117,12 +118,21 @@ def final_load(
     within ``net_keys`` are taken away. 3. What is left is inserted. 4. The amount of adjustments
     of record type 2 changes its sign, if their ``keys`` are among the merge rows: the adjustments of
     other loads stay as they are. 5. The merge table is emptied.
+
+    A repeated key that production lacks is inserted as often; one that production has needs an order. Amounts of the merge
+    table that are doubles have at most ``scale`` decimals, else the job ends (see :func:`net_zero`). Production is read twice and the merge
+    table three times.
     """
     # With an order one row per key is taken; without, only rows that do update must be unique.
-    updates = merge if order_by else matched(merge, prod, keys)
-    updated = merge_update(prod, updates, keys, order_by=order_by)
+    updated = merge_update(prod, merge, keys, order_by=order_by, check="matched")
     turned = _turned(adj, merge, keys, amount, rt)
-    return _inserted(unmatched(merge, prod, keys), updated, turned, net_keys or keys, amount) | {"merge": truncate(merge)}
+    within = list(net_keys or keys)
+    if set(keys) <= set(within):
+        # Rows that cancel out share their keys: production has all of them or none, so they are summed without asking it.
+        kept, netted = (unmatched(rows, prod, keys) for rows in net_zero(merge, within, amount, scale=scale))
+    else:
+        kept, netted = net_zero(unmatched(merge, prod, keys), within, amount, scale=scale)
+    return _inserted(kept, netted, updated, turned) | {"merge": truncate(merge)}
 
 
 def _turned(adj: DataFrame, loaded: DataFrame, keys: Sequence[str], amount: str, rt: str) -> DataFrame:
@@ -133,11 +143,8 @@ def _turned(adj: DataFrame, loaded: DataFrame, keys: Sequence[str], amount: str,
     return key_join(adj, now, keys, names, "left").withColumn(amount, turned).select(*adj.columns)
 
 
-def _inserted(
-    new: DataFrame, prod: DataFrame, adj: DataFrame, net_keys: Sequence[str], amount: str
-) -> dict[str, DataFrame]:
-    """Steps 2 and 3: net the new rows and insert the rest."""
-    kept, netted = net_zero(new, net_keys, amount)
+def _inserted(kept: DataFrame, netted: DataFrame, prod: DataFrame, adj: DataFrame) -> dict[str, DataFrame]:
+    """Steps 2 and 3: the new rows that do not cancel out are inserted."""
     return {"prod": prod.unionByName(kept.select(*prod.columns)), "netted": netted, "adj": adj}
 
 
@@ -178,7 +185,8 @@ def post_sync(
     # The merge table holds the rows production lacks, so its load has nothing left to update.
     third = unmatched(settled, prod, keys)
     turned = _turned(adj, third, keys, spec.amount, spec.rt)
-    loaded = _inserted(third, updated, turned, spec.net_keys or keys, spec.amount)
+    kept, netted = net_zero(third, spec.net_keys or keys, spec.amount)
+    loaded = _inserted(kept, netted, updated, turned)
     return {
         "duplicates": duplicates,
         "activity": once,

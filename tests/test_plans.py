@@ -1,10 +1,11 @@
 """What the physical plans of the operators must look like, and the composite jobs."""
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from settleflow.operators import dup_rows, lookup_join, merge_update, observe_rows, unmatched, uniq_rows, with_sequence
-from settleflow.plans import group_status, post_sync, route_files, run_groups
+from settleflow.plans import final_load, group_status, post_sync, route_files, run_groups
 from settleflow.queries.registry import Tables
 from settleflow.queries.settlement import SYNC, _staged
 from settleflow.sources import truncate
@@ -35,6 +36,46 @@ def test_first_rows_are_cut_before_the_shuffle(tables):
     assert "l_extendedprice" not in text
 
 
+def test_duplicates_take_two_scans_and_two_shuffles(tables):
+    text = final_plan(dup_rows(tables.events, ["user_id", "event_type"], ["ts", "event_id"], ["event_id", "user_id"]))
+    assert text.count("FileScan") == 2 and text.count("Exchange hashpartitioning") == 2
+
+
+def test_final_load_reads_production_twice(tables):
+    prod = tables.orders.select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("amount"))
+    merge = tables.lineitem.groupBy(F.col("l_orderkey").alias("k")).agg(F.sum("l_tax").cast("decimal(18,2)").cast("double").alias("amount"))
+    adj = tables.orders.selectExpr("o_orderkey AS k", "'2' AS rt", "o_totalprice AS amount")
+    loaded = plan(final_load(merge, prod, adj, ["k"], "amount")["prod"])
+    assert loaded.count("o_orderkey") and loaded.count("orders.parquet") == 2 and loaded.count("lineitem.parquet") == 3
+
+
+@pytest.mark.parametrize("net_keys", [None, ["k", "part"], ["part"]])
+def test_final_load_by_any_net_keys(spark, net_keys):
+    schema = "k int, part string, amount double"
+    prod = spark.createDataFrame([(1, "a", 1.0), (2, "a", 2.0)], schema)
+    rows = [(1, "b", 9.0), (3, "a", 5.0), (3, "a", -5.0), (4, "a", 7.0), (4, "b", -7.0), (5, "b", 7.0), (None, "a", 1.0), (None, "a", -1.0)]
+    merge = spark.createDataFrame(rows, schema)
+    adj = spark.createDataFrame([(3, "2", 4.0), (9, "2", 4.0)], "k int, rt string, amount double")
+    out = final_load(merge, prod, adj, ["k"], "amount", net_keys=net_keys)
+    new = [r for r in rows if r[0] not in (1, 2)]
+    at = {None: lambda r: (r[0],), ("k", "part"): lambda r: r[:2], ("part",): lambda r: (r[1],)}[net_keys and tuple(net_keys)]
+    groups = {}
+    for row in new:
+        if None not in at(row):
+            groups.setdefault(at(row), []).append(row[2])
+    gone = [r for r in new if len(groups.get(at(r), [])) > 1 and sum(groups[at(r)]) == 0]
+    left = [r for r in new if r not in gone]
+    assert bag(out["netted"]) == sorted(gone, key=repr)
+    assert bag(out["prod"]) == sorted([(1, "b", 9.0), (2, "a", 2.0), *left], key=repr)
+    assert bag(out["adj"]) == [(3, "2", -4.0), (9, "2", 4.0)]
+    # A repeated key matters only where production has it, unless an order says which row counts.
+    twice = merge.union(spark.createDataFrame([(1, "c", 8.0)], schema))
+    with pytest.raises(PySparkException, match="repeated key"):
+        final_load(twice, prod, adj, ["k"], "amount", net_keys=net_keys)["prod"].collect()
+    first = final_load(twice, prod, adj, ["k"], "amount", net_keys=net_keys, order_by=["amount"])["prod"]
+    assert first.filter("k = 1").collect()[0]["part"] == "c"
+
+
 def test_filter_and_columns_reach_the_scan(tables):
     lines = tables.lineitem.filter("l_shipdate > TIMESTAMP_NTZ '2000-01-01 00:00:00'")
     text = plan(unmatched(tables.orders, lines, ["o_orderkey"], ["l_orderkey"]).select("o_orderkey"))
