@@ -16,8 +16,9 @@ from settleflow.llm.words import PIECE, Runs, Texts, hashed, lists, mixed, piece
 
 #: Shortest windows that are worth a level of their own.
 LEAST = 16
-#: Words of the corpus for each range of hash values: bounds what one group of hashes holds.
-WORDS_PER_RANGE = 200_000
+#: Words of the corpus for each range of hash values: bounds what one group of hashes holds (16 MB, should every
+#: window repeat). The larger it is, the fewer entries a piece sends: at most one a range.
+WORDS_PER_RANGE = 2_000_000
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
