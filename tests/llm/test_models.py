@@ -170,6 +170,51 @@ def test_gradients_of_the_recurrent_network():
     assert abs((up - loss()) / (2 * step) - dx[1, 1, 2]) < 2e-3
 
 
+def plain_toxicity(net, text):
+    """The score of one text, window by window and word by word."""
+    p = {name: value.astype(np.float64) for name, value in net.p.items()}
+    squash = lambda v: 1 / (1 + np.exp(-v))
+    (alone,) = pieces(pa.array([text]))
+    words, _, grams, first = toxicity.read_words(alone)
+    ends = [*first[1:].tolist(), len(grams)] if len(words) else []
+    known = {int(word): i + 1 for i, word in enumerate(net.vocabulary)}
+    x = []
+    for word, begin, end in zip(words, first, ends):
+        x.append(np.concatenate([p["word"][known.get(int(word), 0)], np.mean([p["char"][g] for g in grams[begin:end]], axis=0)]))
+    starts = [0]
+    while starts[-1] + toxicity.WINDOW < len(x):
+        starts.append(starts[-1] + toxicity.STRIDE)
+    best, size = -np.inf, toxicity.STATE
+    for start in starts:
+        window = x[start : start + toxicity.WINDOW]
+        sides = {}
+        for side, order in (("f", list(range(len(window)))), ("b", list(range(len(window)))[::-1])):
+            h, sides[side] = np.zeros(size), {}
+            for t in order:
+                enter, back = p[f"in_{side}"] @ window[t] + p[f"bias_{side}"], p[f"state_{side}"] @ h
+                keep = squash(enter[:size] + back[:size])
+                reset = squash(enter[size : 2 * size] + back[size : 2 * size])
+                fresh = np.tanh(enter[2 * size :] + reset * back[2 * size :])
+                h = sides[side][t] = keep * h + (1 - keep) * fresh
+        states = [np.concatenate([sides["f"][t], sides["b"][t]]) for t in range(len(window))]
+        look = [np.exp(p["query"] @ np.tanh(p["attend"] @ h)) for h in states]
+        pooled = sum((w / sum(look) * h for w, h in zip(look, states)), np.zeros(2 * size))
+        best = max(best, squash(p["out"] @ pooled + p["out_bias"][0]))
+    return best
+
+
+def test_toxicity_is_that_of_a_plain_loop():
+    rng = np.random.default_rng(3)
+    vocabulary = ["you", "fool", "kind", "river", "stone", "blue", "walks", "idiot"]
+    sample = [(" ".join(rng.choice(vocabulary, 12)), 0) for _ in range(20)]
+    net = toxicity.train([(text, int("fool" in text)) for text, _ in sample], steps=6)
+    assert isinstance(net, toxicity.Network)
+    long = [" ".join(rng.choice([*vocabulary, "unseen", "wörter"], n)) for n in (1, 2, toxicity.WINDOW, toxicity.WINDOW + 1, 300)]
+    texts = ["", " .,! ", "fool", *long, "fool " * 500]
+    (together,) = pieces(pa.array(texts))
+    assert np.allclose(net.score(together), [plain_toxicity(net, text) for text in texts], atol=1e-4)
+
+
 def test_windows_cover_every_word_and_byte():
     bounds = np.array([0, 0, 5, 40, 140])
     index, row = toxicity.window_index(bounds)
