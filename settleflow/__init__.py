@@ -1,5 +1,5 @@
 """Settlement-style ETL on tables and file streams, as Spark DataFrame operators."""
 
-from settleflow.session import configure
+from settleflow.session import configure, intermediates
 
-__all__ = ["configure"]
+__all__ = ["configure", "intermediates"]

@@ -260,10 +260,8 @@ _over("cnd_06_nvl", "orders", "o_orderkey", lambda: cd.nvl(cd.null_if(C("o_order
 _over("cnd_07_is_in", "part", "p_partkey", lambda: cd.is_in(C("p_size"), 1, 5, 11), "p_size IN (1, 5, 11)")
 
 # Dates
-_STAMP = "2024-03-05 06:07:08"
-_AT = lambda: F.lit(_STAMP).cast("timestamp_ntz")
 _over("dat_01_format_date", "events", "event_id", lambda: dt.format_date("dd/MM/yyyy HH:mm:ss", C("ts")), "strftime(ts, '%d/%m/%Y %H:%M:%S')")
-_over("dat_02_get_date", "nation", "n_nationkey", lambda: dt.get_date("yyyy-MM-dd", _AT()), "strftime(TIMESTAMP '2024-03-05 06:07:08', '%Y-%m-%d')")
+_over("dat_02_get_date", "orders", "o_orderkey", lambda: dt.get_date("dd/MM/yyyy", C("o_orderdate").cast("timestamp_ntz")), "strftime(o_orderdate, '%d/%m/%Y')")
 _over("dat_02_get_date_of_events", "events", "event_id", lambda: dt.get_date("yyyy-MM-dd", C("ts").cast("timestamp_ntz")), "strftime(ts, '%Y-%m-%d')")
 _over("dat_03_now", "events", "event_id", lambda: C("ts").cast("timestamp") < dt.now(), "ts < now()::TIMESTAMP")
 _over(

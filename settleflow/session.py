@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -43,6 +46,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named or context.getCheckpointDir()
 
 
+# Folders handed out inside ``intermediates``; None outside of it.
+_FOLDERS: ContextVar[list[str] | None] = ContextVar("settleflow_folders", default=None)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/settleflow/{name}-{uuid.uuid4().hex}"
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/settleflow/{name}-{uuid.uuid4().hex}"
+    if (made := _FOLDERS.get()) is not None:
+        made.append(folder)
+    return folder
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove the tables that operators called inside write to the shared folder, at the end, after an error too.
+
+    Results are evaluated late and read those tables: write them elsewhere, or collect them, before leaving. Gives the list of
+    the paths made so far. What was made outside, by another thread or by an outer ``intermediates`` stays.
+    """
+    made: list[str] = []
+    token = _FOLDERS.set(made)
+    try:
+        yield made
+    finally:
+        _FOLDERS.reset(token)
+        for folder in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -142,7 +142,7 @@ def read_delimited(
             options[kind] = formats.pop()
     if corrupt:
         options["columnNameOfCorruptRecord"] = corrupt
-    if multi_line or header > 1 or footer > 0:
+    if multi_line or header > 1 or footer > 0 or not remove_empty_rows:  # the reader skips empty lines
         if multi_line:
             lines = read_records(spark, path, quote, escape, header, encoding).withColumnRenamed("record", "line")
         else:
@@ -158,11 +158,6 @@ def read_delimited(
             if value:
                 options[name] = value
         rows = spark.read.schema(T.StructType(fields)).options(**options).csv(path, header=header == 1)
-        if not remove_empty_rows:
-            # The reader skips empty lines; they come back as rows of NULLs.
-            empty = read_lines(spark, path, "line", header=header, encoding=encoding, line_sep=line_sep)
-            nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
-            rows = rows.unionByName(empty.filter(F.trim("line") == "").select(*nulls))
     if own_numbers:
         rows = rows.select(
             *[

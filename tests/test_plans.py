@@ -1,9 +1,12 @@
 """What the physical plans of the operators must look like, and the composite jobs."""
 
+import os
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from settleflow import intermediates
 from settleflow.operators import dup_rows, lookup_join, merge_update, observe_rows, unmatched, uniq_rows, with_sequence
 from settleflow.plans import final_load, group_status, post_sync, route_files, run_groups
 from settleflow.queries.registry import Tables
@@ -101,6 +104,24 @@ def test_no_python_and_no_lone_window(tables):
         assert "SinglePartition" not in text and "CartesianProduct" not in text
 
 
+def test_intermediate_tables_go_when_their_owner_is_done(spark, tables, tmp_path):
+    outside = with_sequence(tables.nation, "n", ["n_nationkey"])
+    with intermediates(spark) as outer:
+        with intermediates(spark) as made:
+            numbered = with_sequence(tables.nation, "n", ["n_name"])
+            assert len(made) == 1 and os.path.isdir(made[0])
+            numbered.write.parquet(str(tmp_path / "kept"))
+        assert not os.path.exists(made[0]) and outer == []
+        later = with_sequence(tables.nation, "n", ["n_name"])
+        assert bag(spark.read.parquet(str(tmp_path / "kept"))) == bag(later)
+    with pytest.raises(RuntimeError):
+        with intermediates(spark) as failed:
+            with_sequence(tables.nation, "n", ["n_name"])
+            raise RuntimeError
+    assert not any(os.path.exists(folder) for folder in outer + failed)
+    assert outside.count() == 25
+
+
 def test_sequence_keeps_rows_apart(tables):
     text = plan(with_sequence(tables.lineitem, "n", ["l_orderkey", "l_linenumber", "l_partkey"]))
     # The one window without a partition runs over partition sizes, below the broadcast.

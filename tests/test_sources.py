@@ -73,6 +73,19 @@ def test_edge_lines_stay_in_the_jvm_and_no_line_is_shuffled(spark, conf, tmp_pat
     assert sorted(int(r["line"]) for r in shuffled.collect()) == list(range(2, 999))
 
 
+@pytest.mark.parametrize("header", [0, 1, 2])
+def test_empty_lines_are_rows_of_one_scan(spark, tmp_path, header):
+    for name in "ab":
+        (tmp_path / f"{name}.csv").write_text("head\n" * header + '1,x\n\n2,"y,z"\n   \n')
+    rows = read_delimited(spark, str(tmp_path), PAIR, header=header, remove_empty_rows=False, corrupt="raw")
+    expected = [(1, "x", None), (2, "y,z", None), (None, None, None), (None, None, None)] * 2
+    assert bag(rows) == sorted(expected, key=repr)
+    plan = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan text") == (2 if header else 1)
+    kept = read_delimited(spark, str(tmp_path), PAIR, header=header)
+    assert bag(kept) == sorted([(1, "x"), (2, "y,z")] * 2, key=repr)
+
+
 def test_delimited_with_edges_and_gzip(spark, tmp_path):
     with gzip.open(tmp_path / "x.csv.gz", "wt") as out:
         out.write("title\na|b\n1|x\n\n2|'y|z'\nbad|w\ntotal\n")
