@@ -169,6 +169,29 @@ def test_first_rows_of_a_shuffled_stream_are_those_of_the_batch(spark, tmp_path)
     assert bag(got.filter("later").drop("later")) == bag(dup_rows(table, ["k"], ["place", "at"]))
 
 
+def test_first_rows_keep_one_state_per_bucket(spark, tmp_path):
+    """Keys of a bucket share its state and its timer, and expire each at its own time; a null key is one of them."""
+    kind = "k long, at string, v string"
+    batches = [
+        [(1, "2024-01-01", "a"), (1, "2024-01-02", "b"), (2, "2024-01-05", "c"), (None, "2024-01-03", "d"), *[(k, "2024-01-04", "e") for k in range(10, 90)]],
+        [(2, "2024-01-04", "f"), (None, "2024-01-06", "g"), (3, "2024-01-14", "h")],
+        [(3, "2024-01-13", "i"), (1, "2024-01-14", "j"), (3, "2024-01-25", "k")],  # the watermark has passed key 1
+    ]
+    schema = spark.createDataFrame([], kind).withColumn("at", F.to_timestamp("at")).schema
+    for n, rows in enumerate(batches):
+        table = spark.createDataFrame(rows, kind).withColumn("at", F.to_timestamp("at"))
+        table.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        load = stream_load(first_rows_stream(stream, ["k"], ["at"], "at", "5 days", buckets=2), str(tmp_path / "out"), str(tmp_path / "cp"), interval=None)
+        load.awaitTermination()
+        assert sum(op["numRowsTotal"] for p in load.recentProgress[-1:] for op in json.loads(p.json)["stateOperators"]) <= 2 * 3  # the rows and the timer, twice
+    got = spark.read.parquet(str(tmp_path / "out/good")).where("k < 10 OR k IS NULL").select("k", "v", "later")
+    told = {(r["k"], r["v"]): r["later"] for r in got.collect()}
+    assert told == {(1, "a"): False, (1, "b"): True, (2, "c"): True, (2, "f"): False, (None, "d"): False, (None, "g"): True, (1, "j"): False, (3, "h"): True, (3, "i"): False} | (
+        {(3, "k"): True}
+    )
+
+
 def _files(path):
     return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in Path(path).rglob("*.parquet")}
 
