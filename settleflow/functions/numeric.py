@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +10,8 @@ DECIMAL = "decimal(38,4)"
 SCALE, PRODUCT_SCALE = 4, 8
 # Digits of a quotient found at a time; a remainder with so many zeros behind it is still a decimal.
 DIGITS = 4
+# Below these, an amount and a divisor are divided in one step.
+SHORT, SHORT_DIVISOR = 10**16, 10**5
 
 
 def smul(k, c: Column) -> Column:
@@ -47,16 +47,13 @@ def bd_subtract(a: Column, b: Column) -> Column:
     return a - b
 
 
-def _with(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often the body reads it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
+# The functions below name a value as often as they read it: a projection computes what repeats once, in compiled code.
+# A lambda that binds the value (``transform`` of an array) is interpreted row by row, at several times the cost.
 def _rounded(negative: Column, whole: Column, fraction: Column, scale: int) -> Column:
     """``whole + fraction`` (a small one) rounded half up to ``scale``, with its sign; too many digits end the job."""
     wide = 38 if scale <= 6 else 37  # what a sum may have so that it keeps its scale
-    signed = lambda c: F.when(negative, _minus(c)).otherwise(c)
-    total = signed(whole).cast(f"decimal({wide},{scale})") + signed(F.round(fraction, scale))
+    sign = F.when(negative, -1).otherwise(1).cast("decimal(1,0)")
+    total = (whole * sign).cast(f"decimal({wide},{scale})") + F.round(fraction, scale) * sign
     return total.cast(f"decimal(38,{scale})")
 
 
@@ -78,19 +75,12 @@ def bd_multiply(a: Column, b: Column, scale: int = PRODUCT_SCALE) -> Column:
     if not 0 <= scale <= PRODUCT_SCALE:
         raise ValueError(f"a product has 0 to {PRODUCT_SCALE} decimals")
 
-    def product(x: Column) -> Column:
-        one, two = x["whole"], x["other_whole"]
-        crossed = (one * x["other_part"]).cast(DECIMAL) + (two * x["part"]).cast(DECIMAL)
-        carried = F.floor(crossed).cast("decimal(38,0)")
-        fraction = (crossed - carried).cast("decimal(4,4)") + x["part"] * x["other_part"]
-        return _rounded(x["negative"], (one * two).cast("decimal(38,0)") + carried, fraction, scale)
-
     a, b = a.cast(DECIMAL), b.cast(DECIMAL)
     whole, part = lambda c: F.floor(_size(c)).cast("decimal(34,0)"), lambda c: (_size(c) - F.floor(_size(c))).cast("decimal(4,4)")
-    parts = F.struct(
-        ((a < 0) != (b < 0)).alias("negative"), whole(a).alias("whole"), part(a).alias("part"), whole(b).alias("other_whole"), part(b).alias("other_part")
-    )
-    return F.when(a.isNotNull() & b.isNotNull(), _with(parts, product))
+    crossed = (whole(a) * part(b)).cast(DECIMAL) + (whole(b) * part(a)).cast(DECIMAL)
+    carried = F.floor(crossed).cast("decimal(38,0)")
+    fraction = (crossed - carried).cast("decimal(4,4)") + part(a) * part(b)
+    return _rounded((a < 0) != (b < 0), (whole(a) * whole(b)).cast("decimal(38,0)") + carried, fraction, scale)
 
 
 def bd_negate(a: Column) -> Column:
@@ -104,7 +94,7 @@ def bd_abs(a: Column) -> Column:
 def bd_divide(a: Column, b: Column, scale: int) -> Column:
     """Quotient rounded half up to ``scale`` (0 to 8), once; NULL for a zero divisor.
 
-    A long division: the whole part, then ``DIGITS`` decimals at a time from the remainder, so amounts of any size
+    Short amounts are divided at once. Others by a long division: the whole part, then ``DIGITS`` decimals at a time from the remainder, so amounts of any size
     give true digits. A divisor has up to 30 whole digits and a quotient up to 29 (32 for a scale up to 6); larger ones
     end the job.
     """
@@ -112,36 +102,32 @@ def bd_divide(a: Column, b: Column, scale: int) -> Column:
         raise ValueError(f"a quotient has 0 to {PRODUCT_SCALE} decimals")
     a, b = a.cast(DECIMAL), b.cast(DECIMAL)
     steps = scale // DIGITS + 1  # one digit more than asked for, at least
-
-    def parted(x: Column, divisor: Column) -> Column:
-        """Whole quotient and remainder: the quotient of two decimals has six decimals, its whole part is at most one too large."""
-        near = F.floor(x / divisor).cast("decimal(38,0)")
-
-        def settled(v: Column) -> Column:
-            over = v["rest"] < 0
-            return F.struct(
-                F.when(over, v["near"] - 1).otherwise(v["near"]).cast("decimal(38,0)").alias("whole"),
-                F.when(over, v["rest"] + divisor).otherwise(v["rest"]).cast(DECIMAL).alias("rest"),
-            )
-
-        return _with(near, lambda n: _with(F.struct(n.alias("near"), (x - (n * divisor).cast(DECIMAL)).cast(DECIMAL).alias("rest")), settled))
-
-    def quotient(x: Column) -> Column:
-        return _with(parted(x["size"], x["by"]), lambda q: decimals(x, q, q["rest"], [], steps))
-
-    def decimals(x: Column, q: Column, rest: Column, found: list[Column], left: int) -> Column:
-        if left:
-            more = parted((rest * 10**DIGITS).cast(DECIMAL), x["by"])
-            return _with(more, lambda d: decimals(x, q, d["rest"], [*found, d["whole"]], left - 1))
-        places = DIGITS * steps
-        kind = f"decimal({places},{places})"
-        fraction = F.lit(0).cast(kind)
-        for i, digits in enumerate(found, start=1):
-            fraction = (fraction + digits.cast(f"decimal({DIGITS},0)") * F.lit("1e-" + str(DIGITS * i)).cast(kind)).cast(kind)
-        return _rounded(x["negative"], q["whole"], fraction, scale)
-
-    parts = F.struct(((a < 0) != (b < 0)).alias("negative"), _size(a).alias("size"), _size(b).alias("by"))
-    return F.when(a.isNotNull() & (b != 0), _with(parts, quotient))
+    # Most amounts are short: the quotient of the types below has ten decimals more than asked for, and as the divisor has up to nine
+    # digits, one that is no tie differs from it by more than those leave open. It is rounded at once; the others are NULL there.
+    short = (a > bd_literal(-SHORT)) & (a < bd_literal(SHORT)) & (b > bd_literal(-SHORT_DIVISOR)) & (b < bd_literal(SHORT_DIVISOR))
+    decimals = max(scale, SCALE)
+    direct = F.when(short & (b != 0), F.round(a.cast(f"decimal({16 + decimals},{decimals})") / b.cast("decimal(9,4)"), scale).cast(f"decimal(38,{scale})"))
+    size, by = F.when(~short, _size(a)), F.when(~short & (b != 0), _size(b))
+
+    def parted(x: Column) -> tuple[Column, Column]:
+        """Quotient and remainder: the quotient of two decimals has six decimals, its whole part is at most one too large, and the remainder then below 0."""
+        near = F.floor(x / by).cast("decimal(38,0)")
+        return near, (x - (near * by).cast(DECIMAL)).cast(DECIMAL)
+
+    near, rest = parted(size)
+    whole = (near - F.when(rest < 0, 1).otherwise(0)).cast("decimal(38,0)")
+    rest = F.when(rest < 0, rest + by).otherwise(rest).cast(DECIMAL)
+    # Decimals one too large are left so: those after them, of a remainder below 0, take it back, and the last ones are set right.
+    places = DIGITS * steps
+    kind = f"decimal({places + 1},{places})"
+    fraction = F.lit(0).cast(kind)
+    for i in range(1, steps + 1):
+        digits, rest = parted((rest * 10**DIGITS).cast(DECIMAL))
+        if i == steps:
+            digits = digits - F.when(rest < 0, 1).otherwise(0)
+        fraction = (fraction + digits.cast(f"decimal({DIGITS + 1},0)") * F.lit("1e-" + str(DIGITS * i)).cast(f"decimal({places},{places})")).cast(kind)
+    # One of the two is NULL. Both are always computed (unlike under a condition), so that what repeats in them is found and computed once.
+    return F.greatest(direct, _rounded((a < 0) != (b < 0), whole, fraction, scale))
 
 
 def set_scale(a: Column, scale: int) -> Column:

@@ -143,3 +143,25 @@ def test_products_and_quotients_are_exact(spark):
     assert (q, p) == (Decimal("142857142857142857142857142857.1429"), Decimal("7e30"))
     with pytest.raises(Exception, match="cannot be represented"):
         large.select(nm.bd_multiply(a, b)).collect()
+
+
+def test_products_and_quotients_are_compiled(spark):
+    """No value is bound by a lambda, which Spark interprets row by row, and what a quotient repeats is computed once."""
+    df = spark.range(3).select(F.col("id").cast("decimal(38,4)").alias("a"), (F.col("id") + 7).cast("decimal(38,4)").alias("b"))
+    for column in (nm.bd_multiply(A, B), nm.bd_multiply(A, B, 4), nm.bd_divide(A, B, 8), nm.bd_divide(A, B, 2)):
+        assert "lambda" not in df.select(column)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_quotients_near_ties_and_limits(spark):
+    """A hair beside a tie, and on both sides of what is divided in one step."""
+    pairs = [
+        (Decimal(a), Decimal(b))
+        for b in ("99999.9999", "99999.9998", "100000", "0.0002", "3.0007", "-99999.9999")
+        for a in ("9999999999999999.9999", "10000000000000000", "-9999999999999999.9999", "0.0001", "-0.0001", "49999.9999", "50000", "5000000000000000.0001")
+    ]
+    pairs += [(Decimal(1), Decimal(0)), (Decimal("1e20"), Decimal(0)), (None, Decimal("1e20")), (Decimal("1e20"), None), (Decimal("1e20"), Decimal("1e20"))]
+    with localcontext() as context:
+        context.prec = 90
+        for scale in (0, 2, 4, 5, 8):
+            exact = [(a / b).quantize(Decimal(1).scaleb(-scale), ROUND_HALF_UP) if a is not None and b else None for a, b in pairs]
+            assert values(spark, "a decimal(38,4), b decimal(38,4)", pairs, nm.bd_divide(A, B, scale)) == exact
