@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from settleflow.operators import dup_rows, split_rejects, uniq_rows
+from settleflow.operators import buffer, dup_rows, split_rejects, uniq_rows
 from settleflow.plans import EntrySpec, post_sync, stage_activity, stage_entries
 from settleflow.queries.inputs import MAPPING_SQL, ORDER_SCHEMA, entries, lines, mapping
 from settleflow.queries.registry import ORACLES, Tables, query
@@ -39,7 +39,7 @@ EVENT_COLUMNS = [f.name for f in EVENTS.fields]
 
 
 # Rows of an input file: the number of files, and so of tasks and batches, grows with the tables.
-ROWS = 4_000
+ROWS = 40_000
 
 
 def _files_of(rows: DataFrame) -> int:
@@ -165,17 +165,28 @@ def _(t: Tables):
     tables = VersionedTables(t.spark, new_folder(t.spark, "versions"))
     tables.create({"prod": prod, "templates": t.orders.select(C("o_orderkey").alias("k"), F.lit("none").alias("entry_id")), "adj": prod.select("k", "rt", "amount")})
 
+    kept: list[DataFrame] = []
+
+    def release() -> None:
+        while kept:
+            kept.pop().unpersist()
+
     def step(batch: DataFrame, now: dict[str, DataFrame]) -> dict[str, DataFrame]:
         good, rejects = stage_entries(batch, LINE_SPEC)
         staging = good.select(
             "k", C("line_no").cast("int").alias("line"), "part", "supp", "rt", F.when(C("dir") == "1", "W").otherwise("N").alias("status"),
             C("rec_prin").alias("amount"), F.concat_ws("-", C("k").cast("string"), C("line_no").cast("string")).alias("entry_id"),
         )
+        release()
+        kept.append(buffer(staging))  # every table reads it: lines are parsed once, not for each
         done = post_sync(staging, staging, now["prod"], now["templates"], now["adj"], SYNC)
         return {name: done[name] for name in ("prod", "templates", "adj")} | {"rejects": rejects}
 
     stream = stream_lines(t.spark, folder, max_files=_batches(files), file="file")
-    stream_pipeline(stream, tables, step, new_folder(t.spark, "offsets"), interval=None, file="file").awaitTermination()
+    try:
+        stream_pipeline(stream, tables, step, new_folder(t.spark, "offsets"), interval=None, file="file").awaitTermination()
+    finally:
+        release()
     return tables.read()["prod"].select("k", "status", "amount")
 
 

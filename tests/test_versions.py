@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from settleflow.operators import dup_rows, merge_update, merge_upsert, uniq_rows
+from settleflow.queries import QUERIES, streams
 from settleflow.sources import BucketTable
 from settleflow.streaming import (
     VersionedTables,
@@ -192,6 +193,30 @@ def test_first_rows_keep_one_state_per_bucket(spark, tmp_path):
     )
 
 
+def test_the_staged_rows_of_a_batch_are_kept_while_its_tables_are_made(spark, tmp_path, monkeypatch):
+    lines = spark.range(60).selectExpr(
+        "id div 3 + 1 AS l_orderkey", "CAST(id % 3 + 1 AS INT) AS l_linenumber", "id AS l_partkey", "id % 7 AS l_suppkey", "'N' AS l_returnflag",
+        "'F' AS l_linestatus", "TIMESTAMP_NTZ '1995-01-02 00:00:00' AS l_shipdate", "60000D AS l_extendedprice", "0.05D AS l_discount", "0.01D AS l_tax", "2D AS l_quantity",
+    )
+    orders = spark.range(1, 21).selectExpr("id AS o_orderkey", "'O' AS o_orderstatus", "100D AS o_totalprice")
+    for name, table in (("lineitem", lines), ("orders", orders)):
+        table.write.parquet(str(tmp_path / f"{name}.parquet"))
+    seen, post_sync = [], streams.post_sync
+
+    def spied(staging, *rest):
+        seen.append(staging.storageLevel.useMemory)
+        return post_sync(staging, *rest)
+
+    monkeypatch.setattr(streams, "post_sync", spied)
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    got = QUERIES["stm_02_batch_pipeline"](spark, str(tmp_path))
+    assert len(seen) > 1 and all(seen) and len(spark.sparkContext._jsc.getPersistentRDDs()) == before
+    good = [k for k in range(1, 21) if k % 10 and k % 11]  # the others are rejects
+    updated = {(k, "S", 60100.0) for k in good if k % 5} | {(k, "O", 100.0) for k in (11,)}
+    added = [(k, s, 60000.0) for k in good if k % 5 == 0 for s in ("S", "N", "N")]
+    assert bag(got) == sorted([*updated, *added], key=repr)
+
+
 def _files(path):
     return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in Path(path).rglob("*.parquet")}
 
